@@ -320,13 +320,13 @@ def j14(spark, d):
         WHERE c.store_nbr = x.store_nbr AND c.mon = MONTH(x.date) AND c.yr = YEAR(x.date))""",
         "transactions",
         c="""SELECT store_nbr, MONTH(date) AS mon, YEAR(date) AS yr FROM fx_transactions
-        WHERE transactions >= 4 AND EXTRACT(DAY FROM date) = 15""",
+        WHERE transactions >= 2 AND EXTRACT(DAY FROM date) = 15""",
     ),
 )
 def j15(spark, d):
     place = {"mon": F.month("date"), "yr": F.year("date")}
     rows = retail.transactions(spark, d).withColumns(place)
-    changed = rows.filter((F.col("transactions") >= 4) & (F.dayofmonth("date") == 15))
+    changed = rows.filter((F.col("transactions") >= 2) & (F.dayofmonth("date") == 15))
     keys = ["store_nbr", "mon", "yr"]
     return rows.join(changed.select(keys).distinct(), keys, "left_semi").select("store_nbr", "date", "transactions")
 

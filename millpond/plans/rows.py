@@ -147,13 +147,13 @@ def p10(spark, d):
 @query(
     "p11_in_subquery",
     sql(
-        "SELECT * FROM fx_stores WHERE store_nbr IN (SELECT store_nbr FROM fx_train WHERE sales > 60000)",
+        "SELECT * FROM fx_stores WHERE store_nbr IN (SELECT store_nbr FROM fx_train WHERE sales > 120000)",
         "stores",
         "train",
     ),
 )
 def p11(spark, d):
-    big = retail.train(spark, d).filter(F.col("sales") > 60000)
+    big = retail.train(spark, d).filter(F.col("sales") > 120000)
     return retail.stores(spark, d).join(big, "store_nbr", "left_semi")
 
 
