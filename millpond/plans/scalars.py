@@ -197,7 +197,9 @@ def dim_date_literal(spark, d):
 @query(
     "c1_national_holidays",
     sql(
-        """SELECT date FROM fx_holidays_events WHERE locale = 'National' GROUP BY date HAVING BOOL_OR(NOT transferred)""",
+        """SELECT date FROM fx_holidays_events WHERE locale = 'National'
+        AND date BETWEEN (SELECT MIN(CAST(l_shipdate AS DATE)) FROM lineitem) AND (SELECT MAX(CAST(l_shipdate AS DATE)) FROM lineitem)
+        GROUP BY date HAVING BOOL_OR(NOT transferred)""",
         "holidays_events",
     ),
 )
