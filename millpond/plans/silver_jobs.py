@@ -259,11 +259,11 @@ def regional_holiday(spark, d):
     ),
 )
 def dim_date(spark, d):
-    """A calendar built without holidays, then merged with the full one."""
+    """A shorter calendar with an older holiday list, merged with the full one."""
     days = calendar_dim.dates_between(retail.oil(spark, d), "date")
     holidays = retail.holidays(spark, d)
     early = calendar_dim.dates_between(retail.oil(spark, d).filter(F.year("date") < 1998), "date")
-    before = silver.dim_date(early, holidays.limit(0), event_day="1996-04-16")
+    before = silver.dim_date(early, holidays.filter(F.year("date") < 1996), event_day="1996-04-16")
     after = silver.dim_date(days, holidays, event_day="1996-04-16")
     return silver.upsert("silver_dim_date", before, after)
 
