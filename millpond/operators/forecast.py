@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from millpond.functions.series import lags, rolling
 from millpond.operators.tables import append, conform
 from millpond.schemas import ML
+from millpond.session import materialise
 
 SERIES = ("store_nbr", "family")
 
@@ -145,6 +146,7 @@ def mean_metrics(per_cutoff: DataFrame) -> DataFrame:
 def _fit(frame: DataFrame, regressor, features: Sequence[str], label: str) -> PipelineModel:
     inputs = [F.col(c).cast("double").alias(c) for c in features]
     rows = frame.filter(F.col(label).isNotNull()).select(*inputs, F.col(label).cast("double").alias(label))
+    rows = materialise(rows, "training-rows")  # imputer, split finder and every tree level scan it
     filled = [f"{c}_filled" for c in features]
     stages = [
         Imputer(inputCols=list(features), outputCols=filled, strategy="mean"),
@@ -195,6 +197,7 @@ def backtest(
     """Fit once on the rows before every cutoff, score the held-out windows."""
     if fit is fit_forest:
         options.setdefault("trees", trees)
+    frame = materialise(frame, "panel")
     model = fit(training_rows(frame, horizon, windows), features, **options)
     scored = score(model, backtest_splits(frame, horizon, windows), features)
     return mean_metrics(metrics(scored))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,3 +55,15 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder, never reused by another run."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For frames that an iterative job scans many times: the plan before is cut,
+    a lost executor costs no recomputation, and later scans read only the
+    columns they need.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
