@@ -6,12 +6,14 @@ import re
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from millpond.functions.series import lags, rolling
 from millpond.operators.tables import append, conform
@@ -240,31 +242,23 @@ def predict(
 LOG_DDL = "model_name string, status boolean, rmse double, message string, coefficients array<double>"
 
 
-def _ridge(x: np.ndarray, y: np.ndarray, strength: float) -> np.ndarray:
-    """Intercept first; columns are imputed and scaled inside the returned weights."""
-    gram = x.T @ x + strength * np.eye(x.shape[1])
-    gram[0, 0] -= strength
-    return np.linalg.solve(gram, x.T @ y)
-
-
-def _train_series(pdf: pd.DataFrame, features: list[str], horizon: int, strength: float) -> tuple[float, list[float]]:
-    pdf = pdf.sort_values("ds")
-    raw = pdf[features].to_numpy(dtype=float)
-    y = pdf["y"].to_numpy(dtype=float)
-    cutoff = pdf["ds"].max() - pd.Timedelta(days=horizon)
-    train = (pdf["ds"] <= cutoff).to_numpy() & ~np.isnan(y)
+def _solve_series(x: np.ndarray, y: np.ndarray, train: np.ndarray, strength: float) -> tuple[float, list[float]]:
+    """Ridge regression on imputed, scaled columns; the error on the rows held out."""
     if train.sum() < 2:
         raise ValueError(f"{int(train.sum())} rows before the cutoff, 2 needed")
-    known = ~np.isnan(raw[train])
-    counts = np.maximum(known.sum(axis=0), 1)
-    means = np.where(known, raw[train], 0.0).sum(axis=0) / counts
-    x = np.where(np.isnan(raw), means, raw)
-    scale = np.where(x[train].std(axis=0) > 0, x[train].std(axis=0), 1.0)
-    design = np.column_stack([np.ones(len(x)), (x - means) / scale])
-    weights = _ridge(design[train], y[train], strength)
-    held = ~train & ~np.isnan(y)
-    error = y[held] - design[held] @ weights
-    return float(np.sqrt(np.mean(error**2))), [*weights.tolist(), *means.tolist(), *scale.tolist()]
+    known = ~np.isnan(x)
+    seen = known & train[:, None]
+    means = np.where(seen, x, 0.0).sum(axis=0) / np.maximum(seen.sum(axis=0), 1)
+    x = np.where(known, x, means)
+    scales = x[train].std(axis=0)
+    scales[scales == 0] = 1.0
+    design = np.column_stack([np.ones(len(x)), (x - means) / scales])
+    penalty = strength * np.eye(design.shape[1])
+    penalty[0, 0] = 0.0
+    fitted = design[train]
+    weights = np.linalg.solve(fitted.T @ fitted + penalty, fitted.T @ y[train])
+    error = y[~train] - design[~train] @ weights
+    return float(np.sqrt(np.nanmean(error**2))), [*weights, *means, *scales]
 
 
 def fit_per_series(
@@ -283,18 +277,30 @@ def fit_per_series(
     """
     names = list(features)
 
-    def train(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        name = "_".join(str(k) for k in key) + "_model"
+    def train(key: tuple, rows: pa.Table) -> pa.Table:
+        name = "_".join(str(k.as_py()) for k in key) + "_model"
         try:
-            pdf = pdf.assign(ds=pd.to_datetime(pdf["ds"]))
-            rmse, coefficients = _train_series(pdf, names, horizon, strength)
-            row = (name, True, rmse, "", coefficients)
+            day = rows["day"].to_numpy()
+            y = rows["y"].to_numpy()
+            x = np.column_stack([rows[c].to_numpy() for c in names])
+            before = (day <= day.max() - horizon) & ~np.isnan(y)
+            rmse, coefficients = _solve_series(x, y, before, strength)
+            row = {"status": True, "rmse": rmse, "message": "", "coefficients": coefficients}
         except Exception as e:  # noqa: BLE001 - one series must not stop the others
-            row = (name, False, 0.0, str(e), [])
-        return pd.DataFrame([row], columns=["model_name", "status", "rmse", "message", "coefficients"])
+            row = {"status": False, "rmse": 0.0, "message": str(e), "coefficients": []}
+        return pa.Table.from_pylist([{"model_name": name, **row}], schema=to_arrow_schema(log_schema))
 
-    slim = frame.select(*keys, "ds", F.col("y").cast("double"), *[F.col(c).cast("double") for c in names])
-    return slim.groupBy(*keys).applyInPandas(train, LOG_DDL)
+    log_schema = StructType.fromDDL(LOG_DDL)
+    slim = frame.select(
+        *keys,
+        F.unix_date("ds").alias("day"),
+        F.col("y").cast("double"),
+        *[F.col(c).cast("double") for c in names],
+    )
+    # a fixed partition number: few bytes but much work per row, which the
+    # adaptive planner would otherwise gather into a handful of tasks
+    spread = slim.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return spread.groupBy(*keys).applyInArrow(train, LOG_DDL)
 
 
 def score_per_series(
