@@ -161,7 +161,11 @@ class Lake:
         return self.spark.read.schema(schema).parquet(self._at(name, part)).select(schema.names)
 
     def changes(self, name: str, start: int, end: int | None = None) -> DataFrame:
-        """Change rows of versions start … end, both included."""
+        """Change rows of the committed versions start … end, both included."""
+        latest = self.latest(name)
+        return self._logged(name, start, latest if end is None else min(end, latest))
+
+    def _logged(self, name: str, start: int, end: int) -> DataFrame:
         return changes.read(self.spark, self._at(name, "changes"), start, end)
 
     def history(self, name: str) -> DataFrame:
@@ -181,7 +185,7 @@ class Lake:
             return version
         version += 1
         changes.append(rows, self._at(name, "changes"), version, as_of)
-        logged = self.changes(name, version, version)
+        logged = self._logged(name, version, version)
         part = self._partition_column(name)
         if part is None:
             after = changes.apply(self.read(name), logged, keys)

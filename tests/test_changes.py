@@ -169,6 +169,7 @@ def test_a_commit_that_died_is_invisible_and_can_run_again(spark, lake):
     half_done = frame(spark, [(9, "z")]).withColumn("_change_type", F.lit("insert"))
     changes.append(half_done, f"{lake.root}/t/changes", 2, "2024-01-02")
     assert rows(lake.read("t")) == [(1, "a")]
+    assert rows(lake.changes("t", 0).select("k")) == [(1,)]
     assert lake.merge("t", frame(spark, [(2, "b")]), ["k"], [update_all()], [insert_all()]) == 2
     assert rows(lake.read("t")) == [(1, "a"), (2, "b")]
 
