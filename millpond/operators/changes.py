@@ -22,16 +22,22 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return grouped.select([F.col(k).alias(f"{name}_{k}") for k in keys] + [row.alias(name)])
 
 
-def diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _packed(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return df.select([F.col(k).alias(f"{name}_{k}") for k in keys] + [F.struct("*").alias(name)])
+
+
+def diff(before: DataFrame, after: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """insert / delete / update_preimage / update_postimage rows between two states.
 
     Both sides are hashed on the key once; the per-key check uses the same
-    partitioning as the join. Null keys equal each other. Unchanged rows give
-    nothing.
+    partitioning as the join. ``unique=True`` skips the check for states that
+    hold one row per key already, such as versions of a merged table. Null keys
+    equal each other. Unchanged rows give nothing.
     """
     names = before.columns
-    old = _one_per_key(before, keys, "old")
-    new = _one_per_key(after.select(*names), keys, "new")
+    side = _packed if unique else _one_per_key
+    old = side(before, keys, "old")
+    new = side(after.select(*names), keys, "new")
     match = reduce(Column.__and__, [old[f"old_{k}"].eqNullSafe(new[f"new_{k}"]) for k in keys])
     both = old.join(new, match, "full_outer")
     is_new, is_gone = F.col("old").isNull(), F.col("new").isNull()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -105,6 +105,11 @@ def future_frame(
 
 
 # -- backtest ---------------------------------------------------------------
+def _series_end(keys: Sequence[str]) -> Column:
+    """The last day of a row's series; shares the partitioning of the lag windows."""
+    return F.max("ds").over(Window.partitionBy(*keys))
+
+
 def backtest_splits(
     frame: DataFrame, horizon: int = HORIZON, windows: int = 1, keys: Sequence[str] = SERIES
 ) -> DataFrame:
@@ -113,9 +118,9 @@ def backtest_splits(
     Each row belongs to at most one window, found by arithmetic on its distance
     to the end of the series.
     """
-    ends = frame.groupBy(*keys).agg(F.max("ds").alias("_end"))
     back = F.floor(F.datediff("_end", "ds") / F.lit(horizon)).cast("int")
-    held = frame.join(ends, list(keys)).withColumn("_k", back + 1).filter(F.col("_k") <= windows)
+    ended = frame.withColumn("_end", _series_end(keys))
+    held = ended.withColumn("_k", back + 1).filter(F.col("_k") <= windows)
     return held.withColumn("cutoff", F.date_sub("_end", F.col("_k") * horizon)).drop("_end", "_k")
 
 
@@ -123,9 +128,8 @@ def training_rows(
     frame: DataFrame, horizon: int = HORIZON, windows: int = 1, keys: Sequence[str] = SERIES
 ) -> DataFrame:
     """Rows before the earliest cutoff; one fit serves every window."""
-    ends = frame.groupBy(*keys).agg(F.max("ds").alias("_end"))
     first_cutoff = F.date_sub("_end", F.lit(horizon * windows))
-    return frame.join(ends, list(keys)).filter(F.col("ds") <= first_cutoff).drop("_end")
+    return frame.withColumn("_end", _series_end(keys)).filter(F.col("ds") <= first_cutoff).drop("_end")
 
 
 def metrics(scored: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:

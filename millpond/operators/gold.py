@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millpond.operators.changes import OPENING
-from millpond.operators.merge import delete, insert, merge, update
 from millpond.operators.scd2 import active
+from millpond.session import materialise
 
 
 def monthly_sales(train: DataFrame) -> DataFrame:
@@ -54,34 +54,32 @@ def refresh(
     """Recompute only the groups that change rows touch, and merge them in.
 
     ``month_of`` names the summary's month and year columns and ``by`` its other
-    keys. The touched keys are a small distinct set; the fact is semi-joined to
-    them before it is aggregated, so untouched months never reach the shuffle.
-    A group that lost all its rows is removed. ``update_on`` limits which kinds
-    of change may refresh a group that is already in the summary: one row per
-    group with the strongest kind decides.
+    keys. The touched keys are a small distinct set, written once. The fact is
+    semi-joined to them before it is aggregated, so untouched months never reach
+    the shuffle, and the summary loses its touched groups in one anti join. A
+    group that lost all its rows is thereby removed. ``update_on`` limits which
+    kinds of change may refresh a group that is already in the summary.
     """
     month, year = month_of
     keys = [*by, month, year]
     place: list[Column] = [F.month("date").alias(month), F.year("date").alias(year)]
-    touched = (
+    touched = materialise(
         rows.filter(F.col("_change_type").isin(*OPENING, "delete"))
         .select(*by, *place, F.col("_change_type").isin(*update_on).alias("_may"))
         .groupBy(*keys)
-        .agg(F.max("_may").alias("_may"))
+        .agg(F.bool_or("_may").alias("_may")),
+        "touched-groups",
     )
     dated = fact.withColumns({month: F.month("date"), year: F.year("date")})
-    affected = dated.join(touched.select(*keys), keys, "left_semi").select(*fact.columns)
-    fresh = summarise(affected).withColumn("_found", F.lit(True))
-    source = touched.join(fresh, keys, "left")
-    values = [c for c in fresh.columns if c not in (*keys, "_found")]
-    new = {c: f"s.{c}" for c in values} | {"proc_dt": f"DATE '{as_of}'"}
-    return merge(
-        summary,
-        source,
-        keys,
-        matched=[update(new, when="s._found AND s._may"), delete(when="s._found IS NULL AND s._may")],
-        not_matched=[insert({k: f"s.{k}" for k in keys} | new, when="s._found")],
-    )
+    affected = dated.join(touched, keys, "left_semi").select(*fact.columns)
+    fresh = summarise(affected).withColumn("proc_dt", F.lit(as_of).cast("date"))
+    replaced = touched.filter("_may")
+    kept = summary.join(replaced, keys, "left_anti")
+    if set(update_on) >= {*OPENING, "delete"}:
+        return kept.unionByName(fresh)
+    allowed = fresh.join(replaced, keys, "left_semi")
+    new = fresh.join(summary, keys, "left_anti")
+    return kept.unionByName(allowed).unionByName(new.join(replaced, keys, "left_anti"))
 
 
 def store_products(rows: DataFrame, stores: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ The plan is built for a large target and a smaller source:
 * new rows come from an anti join against only those target keys that occur in
   the source;
 * rows with a null key can match nothing, so they skip the joins altogether.
+
+The source is read three times (rows, keys, rows). That is cheap for a stored
+table; ``staged=True`` writes a source that is expensive to compute once.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millpond.operators.keys import assign
+from millpond.session import materialise
 
 _TARGET_REF = re.compile(r"(?<![\w.`])t\.")
 
@@ -71,6 +75,7 @@ def merge(
     match_target: str | None = None,
     match_source: str | None = None,
     identity: str | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """The target after the merge.
 
@@ -80,6 +85,7 @@ def merge(
     Two source rows that would change one target row raise an error. New rows
     get the next numbers in the ``identity`` column, in key order.
     """
+    source = materialise(source, "merge-source") if staged else source
     plan = _Plan(target, source, on, matched, not_matched, match_target, match_source)
     parts = [plan.kept()] if matched else [target]
     if not_matched:
@@ -96,12 +102,14 @@ def merge_changes(
     match_target: str | None = None,
     match_source: str | None = None,
     identity: str | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """Only the change rows the same merge would produce, with ``_change_type``.
 
     Reads the touched target rows alone, so the cost follows the source. An
     update that leaves every column as it was gives no change row.
     """
+    source = materialise(source, "merge-source") if staged else source
     plan = _Plan(target, source, on, matched, not_matched, match_target, match_source)
     parts = []
     if matched:
@@ -259,11 +267,12 @@ def not_in(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
     """``column NOT IN (members)`` with SQL's null rules and without a forced broadcast.
 
     Spark's own null-aware anti join always broadcasts the subquery. Here the
-    null rules are two counts over the subquery and the rest is a plain anti
+    null rules are one aggregate over the subquery and the rest is a plain anti
     join, which shuffles when the subquery is large.
     """
     values = members.select(F.col(members.columns[0]).alias("_m"))
-    counts = values.agg(F.count("*").alias("n"), F.count("_m").alias("k"))
-    n, k = counts.select("n").scalar(), counts.select("k").scalar()
+    n, known = F.count("*"), F.count("_m")
+    kind = F.when(n == 0, "empty").when(n == known, "known").otherwise("has null")
+    kind = values.agg(kind.alias("kind")).scalar()
     rest = df.join(values, F.col(column) == F.col("_m"), "left_anti")
-    return rest.filter((n == 0) | ((n == k) & F.col(column).isNotNull()))
+    return rest.filter((kind == "empty") | ((kind == "known") & F.col(column).isNotNull()))

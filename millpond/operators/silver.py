@@ -68,23 +68,25 @@ def prepare(table: str, bronze: DataFrame) -> DataFrame:
     return PREPARE.get(table, lambda df: df)(bronze)
 
 
-def upsert(table: str, target: DataFrame, source: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
+def upsert(table: str, target: DataFrame, source: DataFrame, staged: bool = False) -> DataFrame:
     """The silver table after one batch; ``source`` is already prepared."""
     matched, not_matched = clauses(table)
     spec = SILVER[table]
-    return merge(target, source, keys or spec.keys, matched, not_matched, identity=spec.identity)
+    return merge(target, source, spec.keys, matched, not_matched, identity=spec.identity, staged=staged)
 
 
-def upsert_lake(
-    lake: Lake, table: str, bronze: DataFrame, as_of: str, batch: str | None = None, name: str | None = None
-) -> int:
+def create_lake(lake: Lake, table: str, as_of: str) -> None:
+    """The empty stored table; facts are laid out by month."""
+    spec = SILVER[table]
+    lake.create(table, spec.schema, as_of, partition_by=spec.partition_by)
+
+
+def upsert_lake(lake: Lake, table: str, bronze: DataFrame, as_of: str, batch: str | None = None) -> int:
     """Prepare and merge a batch into the stored table; returns the version."""
     matched, not_matched = clauses(table)
     spec = SILVER[table]
     source = prepare(table, bronze)
-    return lake.merge(
-        name or table, source, spec.keys, matched, not_matched, as_of, batch, identity=spec.identity
-    )
+    return lake.merge(table, source, spec.keys, matched, not_matched, as_of, batch, spec.identity)
 
 
 def dim_date(days: DataFrame, holidays: DataFrame, **options) -> DataFrame:

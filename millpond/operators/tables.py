@@ -10,9 +10,11 @@ from pyspark.sql.types import StructType
 
 from millpond.operators import changes
 from millpond.operators.merge import Clause, merge_changes
+from millpond.session import materialise
 
 _COMMIT_DDL = "version BIGINT, committed_at TIMESTAMP, batch STRING, partition_by STRING"
-_PRUNE_LIMIT = 5000  # partition values gathered at most; beyond it the scan is not pruned by list
+_PART = "_part"
+_PRUNE_LIMIT = 5000  # partition names gathered at most
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -96,9 +98,9 @@ class Lake:
     version visible. That row is written last, so a job that dies halfway
     leaves readers on the previous version. One writer per table is assumed.
 
-    A fact table is created with ``partition_by`` instead: it has one current
-    state in ``<table>/data``, and a merge reads and rewrites only the partitions
-    it touches.
+    A fact table is created with ``partition_by`` instead, an expression over its
+    merge keys such as ``trunc(date, 'month')``: it has one current state in
+    ``<table>/data``, and a merge reads and rewrites only the partitions it touches.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -129,7 +131,7 @@ class Lake:
         )
         row.coalesce(1).write.mode("overwrite").parquet(self._at(name, f"commits/n={version}"))
 
-    def _partition_column(self, name: str) -> str | None:
+    def _partition(self, name: str) -> str | None:
         return self.commits(name).filter("version = 0").first().partition_by
 
     # -- reading --
@@ -144,21 +146,32 @@ class Lake:
         if partition_by is None:
             empty.write.parquet(self._at(name, "snapshots/v=0"))
         else:
-            empty.write.partitionBy(partition_by).parquet(self._at(name, "data"))
+            self._write_partitions(empty, name, partition_by)
         self._record(name, 0, as_of, partition_by=partition_by)
 
+    def _write_partitions(self, df: DataFrame, name: str, partition_by: str) -> None:
+        (
+            df.withColumn(_PART, F.expr(partition_by).cast("string"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(_PART)
+            .parquet(self._at(name, "data"))
+        )
+
     def read(self, name: str, version: int | None = None) -> DataFrame:
         """The table at a version; the newest when none is given."""
-        if self._partition_column(name) is None:
+        if self._partition(name) is None:
             return self._typed(name, f"snapshots/v={self.latest(name) if version is None else version}")
         if version is not None and version != self.latest(name):
             raise ValueError(f"{name} keeps only its current state")
-        return self._typed(name, "data")
+        return self._typed(name, "data", _PART).drop(_PART)
 
-    def _typed(self, name: str, part: str) -> DataFrame:
+    def _typed(self, name: str, folder: str, *partitions: str) -> DataFrame:
         logged = self.spark.read.parquet(self._at(name, "changes/_commit_version=0")).schema
         schema = StructType([f for f in logged if f.name not in changes.META])
-        return self.spark.read.schema(schema).parquet(self._at(name, part)).select(schema.names)
+        for p in partitions:
+            schema = schema.add(p, "string")
+        return self.spark.read.schema(schema).parquet(self._at(name, folder)).select(schema.names)
 
     def changes(self, name: str, start: int, end: int | None = None) -> DataFrame:
         """Change rows of the committed versions start … end, both included."""
@@ -186,20 +199,13 @@ class Lake:
         version += 1
         changes.append(rows, self._at(name, "changes"), version, as_of)
         logged = self._logged(name, version, version)
-        part = self._partition_column(name)
+        part = self._partition(name)
         if part is None:
             after = changes.apply(self.read(name), logged, keys)
             after.write.mode("overwrite").parquet(self._at(name, f"snapshots/v={version}"))
         else:
-            state = self._pruned(self.read(name), logged, part)
-            touched = state.join(logged.select(part).distinct(), part, "left_semi")
-            after = changes.apply(touched.select(*state.columns), logged, keys)
-            (
-                after.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(part)
-                .parquet(self._at(name, "data"))
-            )
+            touched = self._touched_partitions(name, logged, part)
+            self._write_partitions(changes.apply(touched, logged, keys), name, part)
         self._record(name, version, as_of, batch)
         return version
 
@@ -213,28 +219,31 @@ class Lake:
         as_of: str = "1970-01-01",
         batch: str | None = None,
         identity: str | None = None,
+        staged: bool = False,
     ) -> int:
         """MERGE into a table: the change rows come from the touched rows alone."""
         if self._done(name, batch):
             return self.latest(name)
-        target = self.read(name)
-        part = self._partition_column(name)
-        if part is not None:
-            if part not in on:
-                raise ValueError(f"a merge into {name} needs its partition column {part} as a key")
+        source = materialise(source, "merge-source") if staged else source
+        part = self._partition(name)
+        if part is None:
+            target = self.read(name)
+        else:
             if any(c.action == "delete" for c in matched):
                 raise ValueError("a partitioned table takes no DELETE clause")
-            target = self._pruned(target, source, part)
+            target = self._touched_partitions(name, source, part)
         rows = merge_changes(target, source, on, matched, not_matched, identity=identity)
         return self.commit(name, rows, on, as_of, batch)
 
-    def _pruned(self, target: DataFrame, source: DataFrame, part: str) -> DataFrame:
-        """Skip target partitions the source does not name.
+    def _touched_partitions(self, name: str, rows: DataFrame, partition_by: str) -> DataFrame:
+        """The table's rows in the partitions the given rows fall into.
 
-        Only partition values are gathered, and only while they are few; a
-        longer list leaves the join to do the work.
+        A short list of partitions prunes the scan; a longer one is not gathered,
+        the semi join alone decides then.
         """
-        values = [r[0] for r in source.select(part).distinct().limit(_PRUNE_LIMIT + 1).collect()]
-        if len(values) > _PRUNE_LIMIT:
-            return target
-        return target.filter(F.col(part).isin([v for v in values if v is not None]))
+        parts = rows.select(F.expr(partition_by).cast("string").alias(_PART)).distinct()
+        state = self._typed(name, "data", _PART)
+        values = [r[0] for r in parts.limit(_PRUNE_LIMIT + 1).collect()]
+        if len(values) <= _PRUNE_LIMIT:
+            return state.filter(F.col(_PART).isin([v for v in values if v is not None])).drop(_PART)
+        return state.join(parts, _PART, "left_semi").drop(_PART)

@@ -39,23 +39,32 @@ STORE_DIFF = diff_sql(STORE, "fx_stores_v1", "fx_stores_v2", ["store_nbr"], ["ty
 STORE_BACK = diff_sql(STORE, "fx_stores_v2", "fx_stores_v1", ["store_nbr"], ["type"])
 
 
+def logged(rows, label):
+    """Change rows as jobs meet them: written to a log, read back from their version on."""
+    path = new_folder(rows.sparkSession, label)
+    changes.append(rows, path, 2, "2024-02-01")
+    return changes.read(rows.sparkSession, path, 2)
+
+
 def train_changes(spark, d):
-    return changes.diff(retail.train_v1(spark, d), retail.train_v2(spark, d), TRAIN_KEYS)
+    rows = changes.diff(retail.train_v1(spark, d), retail.train_v2(spark, d), TRAIN_KEYS)
+    return logged(rows, "train-log")
 
 
 def store_changes(spark, d):
-    return changes.diff(retail.stores_v1(spark, d), retail.stores_v2(spark, d), ["store_nbr"])
+    rows = changes.diff(retail.stores_v1(spark, d), retail.stores_v2(spark, d), ["store_nbr"])
+    return logged(rows, "store-log")
 
 
 # -- change rows --------------------------------------------------------------
 @query("f1_diff_train", sql(TRAIN_DIFF, "train_v1", "train_v2"))
 def f1_train(spark, d):
-    return train_changes(spark, d)
+    return changes.diff(retail.train_v1(spark, d), retail.train_v2(spark, d), TRAIN_KEYS)
 
 
 @query("f1_diff_stores", sql(STORE_DIFF, "stores_v1", "stores_v2"))
 def f1_stores(spark, d):
-    return store_changes(spark, d)
+    return changes.diff(retail.stores_v1(spark, d), retail.stores_v2(spark, d), ["store_nbr"], unique=True)
 
 
 @query("f1_apply_changes", sql("SELECT * FROM fx_train_v2", "train_v2"))
@@ -157,6 +166,7 @@ def f4(spark, d):
         TRAIN_KEYS,
         matched=[merge.update({"sales": "s.sales", "onpromotion": "s.onpromotion"})],
         not_matched=[merge.insert_all()],
+        staged=True,
     )
 
 
@@ -173,6 +183,7 @@ def f4_changes(spark, d):
         TRAIN_KEYS,
         matched=[merge.update_all()],
         not_matched=[merge.insert_all()],
+        staged=True,
     )
 
 
@@ -257,6 +268,7 @@ def f6(spark, d):
         MONTH_KEYS,
         matched=[merge.update(NEW_TOTAL, when="s.kind = 'update_postimage'")],
         not_matched=[merge.insert(KEY_VALUES | NEW_TOTAL)],
+        staged=True,
     )
     return _double(merged)
 
@@ -284,6 +296,7 @@ def f9(spark, d):
             merge.delete(when="s.kind = 'delete'"),
         ],
         not_matched=[merge.insert(KEY_VALUES | NEW_TOTAL)],
+        staged=True,
     )
     return _double(merged)
 
@@ -457,7 +470,8 @@ AND ch.type = h1.type AND ch.locale = h1.locale AND ch.locale_name = h1.locale_n
 def f10_holidays(spark, d):
     before, after = holiday_states(spark, d)
     gold = _opened_gold(before, HOLIDAY_KEYS)
-    return scd2.apply(gold, changes.diff(before, after, HOLIDAY_KEYS), HOLIDAY_KEYS, "2024-02-01")
+    rows = logged(changes.diff(before, after, HOLIDAY_KEYS, unique=True), "holiday-log")
+    return scd2.apply(gold, rows, HOLIDAY_KEYS, "2024-02-01")
 
 
 @query(

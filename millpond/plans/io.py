@@ -310,13 +310,14 @@ def k13_upsert(spark, d):
     """A fact table by month: the merge reads and rewrites only the months of its source."""
     from millpond.operators.merge import insert_all, update_all
 
-    month = F.trunc("date", "month").alias("month")
-    pick = ["id", "date", "store_nbr", "family", F.col("sales").cast("decimal(14,2)").alias("sales"), month]
-    before = retail.train_v1(spark, d).select(pick)
-    after = retail.train_v2(spark, d).filter(F.year("date") == 1997).select(pick)
+    def amounts(rows):
+        return rows.select("id", "date", "store_nbr", "family", F.col("sales").cast("decimal(14,2)").alias("sales"))
+
+    before = amounts(retail.train_v1(spark, d))
+    after = amounts(retail.train_v2(spark, d).filter(F.year("date") == 1997))
     lake = tables.Lake(spark, new_folder(spark, "facts"))
-    keys = ["month", "date", "store_nbr", "family"]
-    lake.create("sales", before.schema, "2024-01-01", partition_by="month")
+    keys = ["date", "store_nbr", "family"]
+    lake.create("sales", before.schema, "2024-01-01", partition_by="trunc(date, 'month')")
     lake.commit("sales", before.withColumn("_change_type", F.lit("insert")), keys, "2024-01-01")
-    lake.merge("sales", after, keys, [update_all()], [insert_all()], "2024-01-02")
-    return as_double(lake.read("sales").drop("month"), "sales")
+    lake.merge("sales", after, keys, [update_all()], [insert_all()], "2024-01-02", staged=True)
+    return as_double(lake.read("sales"), "sales")

@@ -54,7 +54,7 @@ def _upserted_sql(fixture: list[str], ctes: dict[str, str], **parts: str) -> str
 def oil_prices(spark, d):
     before, after = (s.withColumnRenamed("oil_price", "dcoilwtico") for s in oil_states(spark, d))
     name = "silver_dim_oil_prices"
-    merged = silver.upsert(name, _first(name, silver.prepare(name, before)), silver.prepare(name, after))
+    merged = silver.upsert(name, _first(name, silver.prepare(name, before)), silver.prepare(name, after), staged=True)
     return as_double(merged, "oil_price")
 
 
@@ -70,7 +70,7 @@ def oil_prices(spark, d):
 def fact_train(spark, d):
     name = "silver_fact_train"
     before, after = (silver.prepare(name, s(spark, d)) for s in (retail.train_v1, retail.train_v2))
-    return as_double(silver.upsert(name, _first(name, before), after), "sales")
+    return as_double(silver.upsert(name, _first(name, before), after, staged=True), "sales")
 
 
 FAMILIES = """SELECT family, ROW_NUMBER() OVER (ORDER BY family) AS product_family_nbr
@@ -94,7 +94,7 @@ def fact_sales(spark, d):
     )
     name = "silver_fact_sales"
     before, after = (silver.fact_sales(s(spark, d), families) for s in (retail.train_v1, retail.train_v2))
-    return as_double(silver.upsert(name, _first(name, before), after), "sales")
+    return as_double(silver.upsert(name, _first(name, before), after, staged=True), "sales")
 
 
 @query(
@@ -113,7 +113,7 @@ def fact_sales(spark, d):
 )
 def stores(spark, d):
     name = "silver_dim_store"
-    return silver.upsert(name, _first(name, retail.stores_v1(spark, d)), retail.stores_v2(spark, d))
+    return silver.upsert(name, _first(name, retail.stores_v1(spark, d)), retail.stores_v2(spark, d), staged=True)
 
 
 @query(
@@ -133,7 +133,7 @@ def stores(spark, d):
 def transactions(spark, d):
     name = "silver_dim_transactions"
     before, after = visit_states(spark, d)
-    return silver.upsert(name, _first(name, before), after)
+    return silver.upsert(name, _first(name, before), after, staged=True)
 
 
 HOLIDAY_SIX = ", ".join(HOLIDAY_KEYS) + ", description, transferred"
@@ -162,7 +162,7 @@ def holidays_six(spark, d):
     rows = retail.holidays(spark, d)
     rows = rows.unionByName(rows)
     before, after = (silver.prepare(name, rows.filter(F.dayofmonth("date") % n != 0)) for n in (3, 4))
-    return silver.upsert(name, _first(name, before), after)
+    return silver.upsert(name, _first(name, before), after, staged=True)
 
 
 ONE_PER_FOUR = f"""SELECT {HOLIDAY} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {", ".join(HOLIDAY_KEYS)}
@@ -195,6 +195,7 @@ def holidays_four(spark, d):
         HOLIDAY_KEYS,
         [merge.update({"description": "s.description", "transferred": "s.transferred"})],
         [merge.insert_all()],
+        staged=True,
     )
 
 
@@ -215,7 +216,7 @@ def holidays_one_per_date(spark, d):
     rows = retail.holidays(spark, d)
     source = silver.one_per_key(rows.filter(F.dayofmonth("date") % 4 != 0), ("date",))
     target = rows.filter(F.dayofmonth("date") % 3 != 0)
-    return merge.merge(target, source, ["date"], [merge.update_all()], [merge.insert_all()])
+    return merge.merge(target, source, ["date"], [merge.update_all()], [merge.insert_all()], staged=True)
 
 
 REGIONAL = "SELECT * FROM one WHERE locale <> 'National' AND NOT transferred"
@@ -238,7 +239,7 @@ def regional_holiday(spark, d):
     rows = retail.holidays(spark, d)
     before = silver.prepare(name, rows.filter(F.dayofmonth("date") % 3 != 0))
     later = rows.filter(F.dayofmonth("date") % 4 != 0).withColumn("description", F.concat("description", F.lit("!")))
-    return silver.upsert(name, _first(name, before), silver.prepare(name, later))
+    return silver.upsert(name, _first(name, before), silver.prepare(name, later), staged=True)
 
 
 @query(
@@ -265,7 +266,7 @@ def dim_date(spark, d):
     early = calendar_dim.dates_between(retail.oil(spark, d).filter(F.year("date") < 1998), "date")
     before = silver.dim_date(early, holidays.filter(F.year("date") < 1996), event_day="1996-04-16")
     after = silver.dim_date(days, holidays, event_day="1996-04-16")
-    return silver.upsert("silver_dim_date", before, after)
+    return silver.upsert("silver_dim_date", before, after, staged=True)
 
 
 @query(
@@ -289,6 +290,11 @@ def sales_by_store(spark, d):
     train = retail.train(spark, d)
     old = summary(train.filter((F.year("date") < 1998) & (F.col("store_nbr") % 3 != 0)))
     merged = merge.merge(
-        old, summary(train), ["store_nbr"], [merge.update({"total_sales": "s.total_sales"})], [merge.insert_all()]
+        old,
+        summary(train),
+        ["store_nbr"],
+        [merge.update({"total_sales": "s.total_sales"})],
+        [merge.insert_all()],
+        staged=True,
     )
     return as_double(merged, "total_sales")

@@ -87,7 +87,7 @@ def _upserted(spark, table, bronze, as_of="2024-01-01"):
     folder, checkpoint = new_folder(spark, "bronze"), new_folder(spark, "ck")
     bronze.write.parquet(folder)
     lake = Lake(spark, new_folder(spark, "lake"))
-    lake.create(table, spec.schema, as_of)
+    silver.create_lake(lake, table, as_of)
     matched, not_matched = silver.clauses(table)
     streams.upsert_stream(
         streams.table_stream(spark, folder, files_per_batch=2),

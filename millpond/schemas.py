@@ -13,6 +13,7 @@ class Table:
     keys: tuple[str, ...] = ()
     values: tuple[str, ...] = ()
     identity: str | None = None
+    partition_by: str | None = None
     defaults: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -43,11 +44,13 @@ SILVER = {
         "id BIGINT, date DATE, store_nbr INT, product_family_nbr BIGINT, sales DECIMAL(14,2), onpromotion INT",
         keys=("date", "store_nbr", "product_family_nbr"),
         values=("sales", "onpromotion"),
+        partition_by="trunc(date, 'month')",
     ),
     "silver_fact_train": Table(
         "id BIGINT, date DATE, store_nbr INT, family STRING, sales DECIMAL(14,2), onpromotion INT",
         keys=("date", "store_nbr", "family"),
         values=("sales", "onpromotion"),
+        partition_by="trunc(date, 'month')",
     ),
     "silver_dim_store": Table(
         "id BIGINT, " + STORE,

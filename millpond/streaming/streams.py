@@ -103,7 +103,10 @@ def upsert_stream(
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
-        lake.merge(name, rows, on, matched, not_matched, as_of, f"{checkpoint}#{batch_id}", identity)
+        # staged: the batch is read from its files once, not once per step of the merge
+        lake.merge(
+            name, rows, on, matched, not_matched, as_of, f"{checkpoint}#{batch_id}", identity, staged=True
+        )
 
     writer = (
         df.writeStream.foreachBatch(merge_batch).outputMode("update").option("checkpointLocation", checkpoint)

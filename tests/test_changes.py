@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millpond.operators import changes, keys, scd2
-from millpond.operators.merge import insert_all, update_all
+from millpond.operators.merge import delete, insert_all, update_all
 from millpond.operators.tables import Lake
 from millpond.session import new_folder
 
@@ -175,14 +175,19 @@ def test_a_commit_that_died_is_invisible_and_can_run_again(spark, lake):
 
 
 def test_partitioned_merge_rewrites_only_its_partitions(spark, lake):
-    ddl = "k INT, v STRING, p STRING"
-    lake.create("t", frame(spark, [], ddl).schema, "2024-01-01", partition_by="p")
+    ddl = "k STRING, v STRING"
+    lake.create("t", frame(spark, [], ddl).schema, "2024-01-01", partition_by="substring(k, 1, 1)")
     both = [update_all()], [insert_all()]
-    first = frame(spark, [(1, "a", "x"), (2, "b", "y")], ddl)
-    lake.merge("t", first, ["p", "k"], *both)
-    kept = {r[0] for r in lake.read("t").filter("p = 'x'").select(F.input_file_name()).collect()}
-    lake.merge("t", frame(spark, [(2, "B", "y"), (3, "c", "z")], ddl), ["p", "k"], *both)
-    assert rows(lake.read("t")) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
-    assert {r[0] for r in lake.read("t").filter("p = 'x'").select(F.input_file_name()).collect()} == kept
+    lake.merge("t", frame(spark, [("x1", "a"), ("y2", "b")], ddl), ["k"], *both)
+
+    def files_of_x():
+        return {r[0] for r in lake.read("t").filter("k LIKE 'x%'").select(F.input_file_name()).collect()}
+
+    kept = files_of_x()
+    lake.merge("t", frame(spark, [("y2", "B"), ("z3", "c")], ddl), ["k"], *both)
+    assert rows(lake.read("t")) == [("x1", "a"), ("y2", "B"), ("z3", "c")]
+    assert files_of_x() == kept
+    with pytest.raises(ValueError):
+        lake.merge("t", frame(spark, [], ddl), ["k"], [delete()])
     with pytest.raises(ValueError):
-        lake.merge("t", first, ["k"], *both)
+        lake.read("t", 0)
