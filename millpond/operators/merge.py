@@ -103,11 +103,14 @@ def merge_changes(
     match_source: str | None = None,
     identity: str | None = None,
     staged: bool = False,
+    numbered_after: DataFrame | None = None,
 ) -> DataFrame:
     """Only the change rows the same merge would produce, with ``_change_type``.
 
     Reads the touched target rows alone, so the cost follows the source. An
-    update that leaves every column as it was gives no change row.
+    update that leaves every column as it was gives no change row. New numbers
+    follow the largest in ``numbered_after`` where ``target`` is only a part of
+    its table.
     """
     source = materialise(source, "merge-source") if staged else source
     plan = _Plan(target, source, on, matched, not_matched, match_target, match_source)
@@ -115,7 +118,7 @@ def merge_changes(
     if matched:
         parts.append(plan.touched())
     if not_matched:
-        parts.append(plan.numbered(identity).withColumn("_change_type", F.lit("insert")))
+        parts.append(plan.numbered(identity, numbered_after).withColumn("_change_type", F.lit("insert")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -152,7 +155,8 @@ class _Plan:
         if all(c is not None and not _TARGET_REF.search(c) for c in conditions):
             # rows no clause would use neither change a target row nor clash
             rows = rows.filter(reduce(Column.__or__, [c.condition() for c in self.matched]))
-        return rows.groupBy(*self._key_names()).agg(F.count("*").alias("_n"), F.first("s").alias("s"))
+        # max, not first: it is blind to row order, so Catalyst drops a sort in the source
+        return rows.groupBy(*self._key_names()).agg(F.count("*").alias("_n"), F.max("s").alias("s"))
 
     # -- target side -------------------------------------------------------
     def _match_on(self) -> Column:
@@ -167,7 +171,10 @@ class _Plan:
             act = act.when(clause.condition(), F.lit(i))
         # rows no clause can use are gone by now, so a second row is a clash; where
         # a clause reads the target, the source must hold one row per key
-        clash = F.raise_error(F.lit("merge: several source rows would change one target row"))
+        # the target's key in the message also ties the check to the joined row: the
+        # optimizer cannot move it below the join, where unmatched keys repeat freely
+        key = F.concat_ws(", ", *[F.col(f"t.`{t}`").cast("string") for t in self.pairs])
+        clash = F.raise_error(F.concat(F.lit("merge: several source rows would change one target row: "), key))
         act = F.when(F.col("_n") > 1, clash).otherwise(act)
         return joined.withColumn("_act", act.cast("int"))
 
@@ -225,11 +232,12 @@ class _Plan:
         fresh = fresh.withColumn("_act", act).filter(F.col("_act").isNotNull())
         return fresh.select([self._inserted_value(c) for c in self.target.columns])
 
-    def numbered(self, identity: str | None) -> DataFrame:
+    def numbered(self, identity: str | None, existing: DataFrame | None = None) -> DataFrame:
         rows = self.inserted()
         if identity is None:
             return rows
-        return assign(rows.drop(identity), self.target, identity, list(self.pairs)).select(*rows.columns)
+        existing = self.target if existing is None else existing
+        return assign(rows.drop(identity), existing, identity, list(self.pairs)).select(*rows.columns)
 
     def _inserted_value(self, name: str) -> Column:
         value = F.when(F.lit(False), F.lit(None))

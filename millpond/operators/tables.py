@@ -232,7 +232,9 @@ class Lake:
             if any(c.action == "delete" for c in matched):
                 raise ValueError("a partitioned table takes no DELETE clause")
             target = self._touched_partitions(name, source, part)
-        rows = merge_changes(target, source, on, matched, not_matched, identity=identity)
+        rows = merge_changes(
+            target, source, on, matched, not_matched, identity=identity, numbered_after=self.read(name)
+        )
         return self.commit(name, rows, on, as_of, batch)
 
     def _touched_partitions(self, name: str, rows: DataFrame, partition_by: str) -> DataFrame:

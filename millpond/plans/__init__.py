@@ -22,9 +22,7 @@ MODULES = (
 
 
 def _load() -> None:
-    import os
     for name in MODULES:
-        if not os.path.exists(os.path.join(os.path.dirname(__file__), name + ".py")): continue
         importlib.import_module(f"millpond.plans.{name}")
 
 

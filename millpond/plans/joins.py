@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millpond.operators import merge
-from millpond.operators.gold import monthly_oil, monthly_transactions
-from millpond.operators.features import holiday_flags
+from millpond.operators.gold import monthly_oil, monthly_sales
+from millpond.operators.keys import assign
+from millpond.operators.silver import fact_sales
 from millpond.plans.registry import query, sql
 from millpond.sources import retail
 
@@ -116,8 +117,6 @@ def j3(spark, d):
 
 
 def _families(spark, d):
-    from millpond.operators.keys import assign
-
     return assign(retail.train(spark, d).select("family").distinct(), None, "product_family_nbr", ["family"])
 
 
@@ -131,8 +130,6 @@ def _families(spark, d):
     ),
 )
 def j4(spark, d):
-    from millpond.operators.silver import fact_sales
-
     facts = fact_sales(retail.train(spark, d), _families(spark, d))
     return facts.select("date", "store_nbr", "product_family_nbr", F.col("sales").cast("double"), "onpromotion")
 
@@ -343,8 +340,6 @@ def j15(spark, d):
     ),
 )
 def j16(spark, d):
-    from millpond.operators.gold import monthly_sales
-
     before = retail.train_v1(spark, d)
     keys = ["store_nbr", "family", "date"]
     fresh = retail.train_v2(spark, d).select(keys).join(before, keys, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millpond.operators import changes, keys, scd2
-from millpond.operators.merge import delete, insert_all, update_all
+from millpond.operators.merge import delete, insert, insert_all, merge, update_all
 from millpond.operators.tables import Lake
 from millpond.session import new_folder
 
@@ -191,3 +191,28 @@ def test_partitioned_merge_rewrites_only_its_partitions(spark, lake):
         lake.merge("t", frame(spark, [], ddl), ["k"], [delete()])
     with pytest.raises(ValueError):
         lake.read("t", 0)
+
+
+def test_numbers_go_on_over_untouched_partitions(spark, lake):
+    ddl = "id BIGINT, k STRING"
+    lake.create("t", frame(spark, [], ddl).schema, "2024-01-01", partition_by="substring(k, 1, 1)")
+    for names in (["x1", "x2"], ["y1"], ["x1", "z1"]):
+        source = frame(spark, [(n,) for n in names], "k STRING")
+        lake.merge("t", source, ["k"], not_matched=[insert({"k": "s.k"})], identity="id")
+    assert rows(lake.read("t")) == [(1, "x1"), (2, "x2"), (3, "y1"), (4, "z1")]
+
+
+def test_one_key_with_most_of_the_rows(spark):
+    """Null, new and repeated keys that fill a third of the source each."""
+    n = 9000
+    source = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, -1).otherwise(F.col("id")).cast("int").alias("k"),
+        F.lit("s").alias("v"),
+    )
+    target = spark.range(0, n, 2).select(F.col("id").cast("int").alias("k"), F.lit("t").alias("v"))
+    merged = merge(target, source, ["k"], [update_all()], [insert_all()])
+    counts = {tuple(r)[0]: r["count"] for r in merged.filter("k IS NULL OR k = -1").groupBy("k").count().collect()}
+    assert counts == {None: n // 3, -1: n // 3}
+    updated = {i for i in range(n) if i % 3 == 2 and i % 2 == 0}
+    assert merged.filter("v = 's' AND k >= 0").count() == n // 3
+    assert merged.filter("v = 't'").count() == n // 2 - len(updated)
