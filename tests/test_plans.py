@@ -51,11 +51,9 @@ def test_a_small_source_is_broadcast_and_the_target_not_shuffled(spark, train):
     source = materialise(train.filter("store_nbr = 1 AND family = 'SMALL'"), "source")
     keys = ["date", "store_nbr", "family"]
     merged = merge.merge(train, source, keys, [merge.update({"sales": "s.sales"})])
-    merged.collect()
-    final = merged._jdf.queryExecution().executedPlan()
-    merged.write.format("noop").mode("overwrite").save()
-    plan = final.toString()
+    plan = plan_of(merged)
     assert "BroadcastHashJoin" in plan and "FullOuter" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the source's, for its one row per key
 
 
 def test_an_order_by_inside_a_merge_source_is_dropped(spark, train):
