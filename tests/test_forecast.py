@@ -145,3 +145,19 @@ def test_forest_learns_saves_and_loads(spark, panel):
 def test_boosted_trees_backtest(panel):
     scores = {r.metric: r.value for r in forecast.backtest(panel.filter("store_nbr < 3"), 7, 1, fit=forecast.fit_gbt, rounds=3).collect()}
     assert scores["rmse"] < 60
+
+
+def test_ridge_equals_brute_force(panel):
+    """The stored weights minimise squared error plus the penalty, found independently."""
+    import numpy as np
+
+    names = ["onpromotion", "week", "lag8"]
+    row = forecast.fit_per_series(panel.filter("store_nbr = 1"), names, strength=2.0).first()
+    pdf = panel.filter("store_nbr = 1").select("ds", "y", *names).toPandas().sort_values("ds")
+    x, y = pdf[names].astype(float).to_numpy()[:-7], pdf["y"].to_numpy()[:-7]
+    x = np.where(np.isnan(x), np.nanmean(x, axis=0), x)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    # the penalty as extra rows of an ordinary least-squares problem
+    rows_ = np.vstack([np.column_stack([np.ones(len(z)), z]), np.column_stack([np.zeros(3), np.sqrt(2.0) * np.eye(3)])])
+    weights = np.linalg.lstsq(rows_, np.concatenate([y, np.zeros(3)]), rcond=None)[0]
+    assert row.coefficients[:4] == pytest.approx(weights.tolist())
