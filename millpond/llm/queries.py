@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import bpe, decontamination, language_id, secret_scan, simhash, token_counts
+from millpond.llm import (
+    bpe,
+    decontamination,
+    embedding_dedup,
+    language_id,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -32,6 +41,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -57,15 +70,22 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
         op3_token_counts,
+        op4_embedding_dedup,
         op5_decontamination,
         op6_bpe,
         op7_secret_scan,
         op9_simhash,
+        op10_suffix_dedup,
     )
 }
 ORACLE: dict[str, str] = {}
