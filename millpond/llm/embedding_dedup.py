@@ -66,7 +66,7 @@ def projections(size: int, tables: int = TABLES) -> list[np.ndarray]:
 
 def _keys(cells: np.ndarray, table: int) -> np.ndarray:
     """A cell's hash; cells are whole or half numbers."""
-    out = np.full(cells.shape[:-1], table + 1, np.uint64)
+    out = np.full(cells.shape[:-1], table + 1, np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
     doubled = np.rint(2 * cells).astype(np.int64).astype(np.uint64)
     for k in range(8):
         out = (out ^ doubled[..., k]) * np.uint64(0x9E3779B97F4A7C15)
@@ -163,7 +163,7 @@ def _compare(tables: int, probes: int, threshold: float):
         return pa.record_batch([pa.array(np.concatenate(x)) for x in (kinds, xs, ys)], ["kind", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return whole_groups(batches, ["label", "cell", "p", "q"], work, 4096)
+        return whole_groups(batches, ["label", "tab", "cell", "p", "q"], work, 4096)
 
     return run
 
@@ -228,7 +228,8 @@ def near_duplicates(
     )
     dealt = dealt.withColumn("role", F.explode(F.concat(as_home, as_member)))
     ready = dealt.select("label", "cell", "tab", "rep", "n", "vector", "role.*")
-    ready = ready.repartition("label", "cell", "p", "q").sortWithinPartitions("label", "cell", "p", "q")
+    keys = ["label", "tab", "cell", "p", "q"]
+    ready = ready.repartition(*keys).sortWithinPartitions(*keys)
     found = materialise(ready.mapInArrow(_compare(tables, probes, threshold), "kind int, a long, b long"), "links")
     gains = found.filter("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("gain"))
     comps = components(found.filter("kind = 1").select("a", "b"))
