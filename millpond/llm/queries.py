@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from millpond.llm import (
     bpe,
+    chat_format,
     decontamination,
     embedding_dedup,
     language_id,
     secret_scan,
     simhash,
+    substring_dedup,
     suffix_dedup,
     token_counts,
 )
@@ -36,6 +38,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return chat_format.parse(chat_format.transcripts(turns), chat_format.train(turns))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -65,6 +72,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(docs, ratios))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
@@ -79,11 +90,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_chat_format,
         op3_token_counts,
         op4_embedding_dedup,
         op5_decontamination,
         op6_bpe,
         op7_secret_scan,
+        op8_substring_dedup,
         op9_simhash,
         op10_suffix_dedup,
     )
