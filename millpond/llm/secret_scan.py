@@ -129,7 +129,8 @@ def labelled_samples(docs: DataFrame, texts: int = SAMPLE_TEXTS, text_col: str =
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
     )
-    digests = F.array(F.sha1("text"), F.base64(F.unhex(F.sha2("text", 256))), F.upper(F.md5("text")))
+    coded = [F.base64(F.unhex(F.sha2(F.concat("text", F.lit(str(i))), 512))) for i in range(4)]
+    digests = F.array(F.sha1("text"), F.upper(F.md5("text")), *coded)
     rest = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
     words = F.regexp_extract_all(rest, F.lit(r"[A-Za-z_][A-Za-z_0-9]{4,}"), F.lit(0))
     return drawn.select(F.explode(F.concat(found, digests)).alias("sample"), F.lit(True).alias("is_secret")).unionByName(

@@ -61,7 +61,7 @@ def _anchors(width: int):
 
 def _contexts(width: int):
     """Each sampled suffix with the bytes on both sides that a string of ``width`` bytes around its gram can reach."""
-    gram = side = width // 2
+    gram = width // 2
     reach = width - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,20 +71,27 @@ def _contexts(width: int):
                 out: list[tuple] = []
                 for unit, first, text, found in zip(*(rows.column(c).to_pylist() for c in ("unit", "first", "text", "found")), strict=True):
                     data = text.encode()
-                    for x in found:
+                    alike: dict[tuple, list[int]] = {}
+                    for x in sorted(found, key=lambda x: x["place"]):
                         p = x["place"]
-                        middle = data[p : p + gram]
-                        check = int.from_bytes(blake2b(middle, digest_size=8).digest(), "little", signed=True)
-                        out.append((x["gram"], x["parts"], check, unit, first, p, data[max(0, p - side) : p], data[p + gram : p + gram + reach]))
+                        middle = blake2b(data[p : p + gram], digest_size=8).digest()
+                        sides = (data[max(0, p - reach) : p], data[p + gram : p + gram + reach])
+                        key = (x["gram"], x["parts"], int.from_bytes(middle, "little", signed=True), *sides)
+                        if x["parts"] == 1:
+                            out.append((*key[:3], unit, first, p, *sides, [p]))
+                        else:  # equal suffixes of one text go as one
+                            alike.setdefault(key, []).append(p)
+                    out += [(*key[:3], unit, first, places[0], *key[3:], places) for key, places in alike.items()]
                 columns = [pa.array([o[i] for o in out], t) for i, t in enumerate(_CONTEXT_TYPES)]
                 yield pa.record_batch(columns, _CONTEXT_NAMES)
 
     return run
 
 
-_CONTEXT_NAMES = ["gram", "parts", "check", "unit", "first", "place", "left", "right"]
+_CONTEXT_NAMES = ["gram", "parts", "check", "unit", "first", "place", "left", "right", "places"]
 _CONTEXT_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-_CONTEXT = "gram long, parts int, check long, unit binary, first long, place long, left binary, right binary"
+_CONTEXT_TYPES.append(pa.list_(pa.int64()))
+_CONTEXT = "gram long, parts int, check long, unit binary, first long, place long, left binary, right binary, places array<long>"
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -164,10 +171,12 @@ def covered(members: list[tuple], width: int, keep_first: bool) -> list[tuple[in
 
 
 def _matched(width: int, keep_first: bool):
+    """For each suffix that shares a long enough string with another of its group: what it covers on either side."""
+
     def work(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
-        names = ["check", "unit", "first", "place", "left", "right"]
-        check, unit, first, place, left, right = (table.column(c).to_pylist() for c in names)
-        out: list[tuple[bytes, int, int]] = []
+        names = ["gram", "check", "unit", "first", "place", "left", "right"]
+        gram, check, unit, first, place, left, right = (table.column(c).to_pylist() for c in names)
+        out: list[tuple[int, bytes, int, int, int]] = []
         for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             if b - a < 2:
                 continue
@@ -179,10 +188,9 @@ def _matched(width: int, keep_first: bool):
                 members = list(group.values())
                 if len(members) > 1:
                     for i, x, y in covered(members, width, keep_first):
-                        p = members[i][0][3]
-                        out.append((members[i][0][2], p - x, p + y))
-        columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.int64()))]
-        return pa.record_batch(columns, ["unit", "start", "end"])
+                        out.append((gram[a], *members[i][0][2:], x, y))
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+        return pa.record_batch([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], _COVER_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return whole_groups(batches, ["gram", "p", "q"], work, 8192)
@@ -190,6 +198,20 @@ def _matched(width: int, keep_first: bool):
     return run
 
 
+_COVER_NAMES = ["gram", "unit", "place", "before", "after"]
+_COVER = "gram long, unit binary, place long, before long, after long"
+
+
+def _met(suffixes: DataFrame, width: int, keep_first: bool) -> DataFrame:
+    """(gram, unit, place, before, after) from suffixes with ``parts``: every two blocks of a gram meet in one task."""
+    dealt = suffixes.withColumn("own", F.pmod(F.xxhash64("unit", "place"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
+    ready = dealt.select("gram", "p", "q", *_CONTEXT_NAMES[2:-1])
+    ready = ready.repartition("gram", "p", "q").sortWithinPartitions("gram", "p", "q")
+    return ready.mapInArrow(_matched(width, keep_first), _COVER)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, texts in slices(batches, "text"):
         out = []
@@ -197,7 +219,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = text.encode()
             kept, at, removed, runs = [], 0, 0, 0
             end = -1
-            for s in sorted((x["start"], x["end"]) for x in spans or ()):
+            for s in sorted((p - x["before"], p + x["after"]) for x in spans or () for p in x["places"]):
                 runs += s[0] > end
                 end = max(end, s[1])
                 if s[0] > at:
@@ -210,13 +232,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(units: DataFrame, width: int = WIDTH, block: int = BLOCK, keep_first: bool = False) -> DataFrame:
-    """(unit, start, end): byte ranges that repeated strings cover, overlapping.
+    """(unit, places, before, after): repeated strings cover so many bytes before and from each place; they overlap.
 
     ``units`` (unit binary, doc_id, first, text): a text may stand in several rows
     of one unit; ``first`` is the smallest doc_id of the unit. Suffixes are
     sampled, grouped by the hash of their gram and, where the gram repeats, sorted
-    with the bytes around it. A group of more than ``block`` suffixes is dealt
-    into blocks; every two blocks meet in a task of their own.
+    with the bytes around it. Of a gram with more than ``block`` suffixes, those
+    with the same bytes around them are one class first: one suffix stands for
+    all, in blocks of which every two meet in a task of their own, and its result
+    goes back to the class.
     """
     found = units.filter(F.octet_length("text") >= width).select("unit", "text")
     anchors = materialise(found.mapInArrow(_anchors(width), "gram long, unit binary, place long"), "anchors")
@@ -227,12 +251,32 @@ def repeated_spans(units: DataFrame, width: int = WIDTH, block: int = BLOCK, kee
         F.collect_set(F.struct("gram", "parts", "place")).alias("found")
     )
     texts = units.filter("doc_id <=> first").select("unit", "first", "text").join(wanted, "unit")
-    around = texts.mapInArrow(_contexts(width), _CONTEXT)
-    dealt = around.withColumn("own", F.pmod(F.xxhash64("unit", "place"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")}).drop("own", "other", "parts")
-    ready = dealt.repartition("gram", "p", "q").sortWithinPartitions("gram", "p", "q")
-    return ready.mapInArrow(_matched(width, keep_first), "unit binary, start long, end long")
+    around = materialise(texts.mapInArrow(_contexts(width), _CONTEXT), "suffixes")
+    plain = _met(around.filter("parts = 1"), width, keep_first)
+
+    crowded = around.filter("parts > 1").withColumn("class", F.xxhash64("check", "left", "right"))
+    at = F.struct(F.col("first").isNull().alias("none"), "first", "unit", "place")
+    classes = crowded.groupBy("gram", "class").agg(
+        F.min(at).alias("low"), F.max(at).alias("high"), F.max(F.size("places")).alias("most"),
+        *[F.first(c).alias(c) for c in ("check", "left", "right")],
+    )
+    classes = materialise(classes, "classes")
+    blocks = classes.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    heads = classes.join(materialise(blocks, "blocks"), "gram").select("gram", "class", "low.*", "parts", "check", "left", "right")
+    met = _met(heads, width, keep_first).join(heads.select("gram", "class", "unit", "place"), ["gram", "unit", "place"])
+    gram = width // 2
+    # a class of several suffixes repeats as a whole; its first one has no earlier copy there
+    alike = classes.filter("low <> high OR most > 1").select(
+        "gram", "class", F.octet_length("left").cast("long").alias("before"),
+        (F.octet_length("right") + gram).cast("long").alias("after"), F.lit(keep_first).alias("later"),
+    ).filter(F.col("before") + F.col("after") >= width)
+    met = met.select("gram", "class", "before", "after", F.lit(False).alias("later")).unionByName(alike)
+    members = crowded.join(classes.select("gram", "class", "low"), ["gram", "class"]).select(
+        "gram", "class", "unit", "places", at.eqNullSafe(F.col("low")).alias("head")
+    )
+    rest = F.when(F.col("later") & F.col("head"), F.slice("places", 2, F.size("places"))).otherwise(F.col("places"))
+    shared = members.join(met, ["gram", "class"]).select("unit", rest.alias("places"), "before", "after")
+    return plain.select("unit", F.array("place").alias("places"), "before", "after").unionByName(shared)
 
 
 def without_repeats(
@@ -259,13 +303,16 @@ def without_repeats(
     rows = base.join(copies, base["unit"] == copies["copied"], "left").select(
         "unit", "doc_id", "text", F.when(F.col("copied").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("first")
     )
-    spans = repeated_spans(rows, width, block, keep_first).groupBy("unit").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = repeated_spans(rows, width, block, keep_first).groupBy("unit").agg(F.collect_set(F.struct("places", "before", "after")).alias("spans"))
     marks = materialise(spans, "spans").join(units.filter("n > 1"), "unit", "full_outer")
     marked = base.join(marks, "unit", "left")
     whole = F.col("n").isNotNull() & (F.octet_length("text") >= width)
     if keep_first:
         whole &= ~F.col("doc_id").eqNullSafe(F.col("first"))
-    everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("end")))
+    everything = F.struct(
+        F.array(F.lit(0).cast("long")).alias("places"), F.lit(0).cast("long").alias("before"), F.octet_length("text").cast("long").alias("after")
+    )
+    everything = F.array(everything)
     ready = marked.select(
         F.col("doc_id").alias("id"), "text", F.when(whole, everything).otherwise(F.col("spans")).alias("spans")
     )
