@@ -22,6 +22,8 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 #: Texts, in expectation, that the models are fitted on; drawn by a hash of the text.
 SAMPLE_TEXTS = 2000
+#: Counts that a transition's estimate borrows from the single characters.
+PRIOR = 10.0
 #: Log-likelihood ratio per character from which a run counts as random.
 PER_CHARACTER = 0.5
 MASK = "[SECRET]"
@@ -97,20 +99,22 @@ def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio of each transition, random against ordinary, from labelled samples.
 
     ``samples`` (sample, is_secret) hold random strings and ordinary identifiers.
-    Each class is a first-order character Markov model over ALPHABET with one
-    added count per transition. Null samples and classes without samples count
+    Each class is a first-order character Markov model over ALPHABET; after a
+    character, PRIOR counts are shared out as the class's single characters are,
+    so that a character which names hardly use stays unlikely after any other. Null samples and classes without samples count
     nothing. The result has one cell per pair of characters.
     """
     size = len(ALPHABET)
-    counts = {True: [1.0] * size**2, False: [1.0] * size**2}
+    counts = {k: [[0.0] * size for _ in range(size)] for k in (True, False)}
     for r in _bigrams(samples.filter("sample IS NOT NULL AND is_secret IS NOT NULL")).collect():  # at most 2 * size**2
-        counts[r["is_secret"]][r["place"] - 1] += r["n"]
-    out = []
-    for a in range(size):
-        rows = {k: counts[k][a * size : (a + 1) * size] for k in counts}
-        sums = {k: sum(v) for k, v in rows.items()}
-        out += [math.log(s / sums[True]) - math.log(o / sums[False]) for s, o in zip(rows[True], rows[False], strict=True)]
-    return out
+        counts[r["is_secret"]][(r["place"] - 1) // size][(r["place"] - 1) % size] += r["n"]
+
+    def chances(rows: list[list[float]]) -> list[float]:
+        total = sum(map(sum, rows)) + size
+        alone = [(sum(row[b] for row in rows) + 1) / total for b in range(size)]
+        return [(n + PRIOR * p) / (sum(row) + PRIOR) for row in rows for n, p in zip(row, alone, strict=True)]
+
+    return [math.log(x) - math.log(y) for x, y in zip(chances(counts[True]), chances(counts[False]), strict=True)]
 
 
 def labelled_samples(docs: DataFrame, texts: int = SAMPLE_TEXTS, text_col: str = "text") -> DataFrame:
@@ -132,7 +136,8 @@ def labelled_samples(docs: DataFrame, texts: int = SAMPLE_TEXTS, text_col: str =
     coded = [F.base64(F.unhex(F.sha2(F.concat("text", F.lit(str(i))), 512))) for i in range(4)]
     digests = F.array(F.sha1("text"), F.upper(F.md5("text")), *coded)
     rest = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    words = F.regexp_extract_all(rest, F.lit(r"[A-Za-z_][A-Za-z_0-9]{4,}"), F.lit(0))
+    edge = "[A-Za-z0-9+/_-]"
+    words = F.regexp_extract_all(rest, F.lit(rf"(?<!{edge})[A-Za-z_][A-Za-z_0-9]{{4,18}}(?!{edge})"), F.lit(0))
     return drawn.select(F.explode(F.concat(found, digests)).alias("sample"), F.lit(True).alias("is_secret")).unionByName(
         drawn.select(F.explode(words).alias("sample"), F.lit(False).alias("is_secret"))
     )
