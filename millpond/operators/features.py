@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LABELS = 1000
-
 FLAGS = {
     "national_holiday": ("National", ()),
     "regional_holiday": ("Regional", ("state",)),
@@ -49,24 +46,18 @@ def model_input(
     return joined.withColumn("is_holiday", F.greatest(*FLAGS))
 
 
-def labels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS) -> dict[str, list[str]]:
+def labels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Category labels per column, most frequent first, ties by label.
 
-    One aggregate over all columns; at most ``limit`` combinations reach the
-    driver, more raise an error instead of being cut off.
+    Counted per column, in one aggregate over (column, value) pairs; the labels
+    themselves become column names, so they all reach the driver.
     """
-    counts = df.groupBy(*[F.col(c).cast("string").alias(c) for c in columns]).count()
-    rows = counts.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} label combinations in {list(columns)}")
-    found = {}
-    for c in columns:
-        totals = Counter()
-        for row in rows:
-            if row[c] is not None:
-                totals[row[c]] += row["count"]
-        found[c] = sorted(totals, key=lambda v: (-totals[v], v))
-    return found
+    values = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]
+    counts = df.select(F.explode(F.array(*values)).alias("label")).groupBy("label").count()
+    found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
+    for row in counts.filter("label.value IS NOT NULL").toLocalIterator():
+        found[row["label"]["name"]].append((-row["count"], row["label"]["value"]))
+    return {c: [value for _, value in sorted(pairs)] for c, pairs in found.items()}
 
 
 def one_hot(df: DataFrame, known: Mapping[str, Sequence[str]], drop_last: bool = True) -> DataFrame:

@@ -310,7 +310,7 @@ def fit_per_series(
 def score_per_series(
     models: DataFrame, frame: DataFrame, features: Sequence[str] = FEATURES, keys: Sequence[str] = SERIES
 ) -> DataFrame:
-    """Rows with the prediction of their own series' model, as one SQL expression."""
+    """Rows with the prediction of their own series' model, as one SQL expression; null where it has none."""
     n = len(features)
     inputs = F.array(*[F.col(c).cast("double") for c in features])
     weights = F.slice("coefficients", 2, n)
@@ -319,7 +319,7 @@ def score_per_series(
     centred = F.zip_with(F.zip_with(inputs, means, lambda x, m: F.coalesce(x, m) - m), scales, lambda d, s: d / s)
     dot = F.aggregate(F.zip_with(centred, weights, lambda a, w: a * w), F.lit(0.0), lambda acc, v: acc + v)
     named = frame.withColumn("model_name", F.concat(F.concat_ws("_", *keys), F.lit("_model")))
-    joined = named.join(models.filter("status").select("model_name", "coefficients"), "model_name")
+    joined = named.join(models.filter("status").select("model_name", "coefficients"), "model_name", "left")
     return joined.withColumn("prediction", F.element_at("coefficients", 1) + dot).drop("coefficients", "model_name")
 
 

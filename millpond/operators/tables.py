@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,7 +14,7 @@ from millpond.session import materialise
 
 _COMMIT_DDL = "version BIGINT, committed_at TIMESTAMP, batch STRING, partition_by STRING"
 _PART = "_part"
-_PRUNE_LIMIT = 5000  # partition names gathered at most
+_NO_PART = "none"  # the partition of rows whose expression is null
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -90,6 +90,11 @@ def clone_all(spark: SparkSession, source_db: str, target_db: str, pattern: str
 
 
 # -- tables with a change feed ----------------------------------------------
+def _part(partition_by: str) -> Column:
+    """The partition of a row; never null, so that every partition can be joined by."""
+    return F.coalesce(F.expr(partition_by).cast("string"), F.lit(_NO_PART)).alias(_PART)
+
+
 class Lake:
     """Tables under one folder, each with snapshots, a change log and a commit list.
 
@@ -151,7 +156,7 @@ class Lake:
 
     def _write_partitions(self, df: DataFrame, name: str, partition_by: str) -> None:
         (
-            df.withColumn(_PART, F.expr(partition_by).cast("string"))
+            df.select("*", _part(partition_by))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(_PART)
@@ -238,14 +243,9 @@ class Lake:
         return self.commit(name, rows, on, as_of, batch)
 
     def _touched_partitions(self, name: str, rows: DataFrame, partition_by: str) -> DataFrame:
-        """The table's rows in the partitions the given rows fall into.
+        """The table's rows in the partitions the given rows fall into, null dates included.
 
-        A short list of partitions prunes the scan; a longer one is not gathered,
-        the semi join alone decides then.
+        A semi join on the partition column, on a staged list of the partitions.
         """
-        parts = rows.select(F.expr(partition_by).cast("string").alias(_PART)).distinct()
-        state = self._typed(name, "data", _PART)
-        values = [r[0] for r in parts.limit(_PRUNE_LIMIT + 1).collect()]
-        if len(values) <= _PRUNE_LIMIT:
-            return state.filter(F.col(_PART).isin([v for v in values if v is not None])).drop(_PART)
-        return state.join(parts, _PART, "left_semi").drop(_PART)
+        parts = materialise(rows.select(_part(partition_by)).distinct(), "partitions")
+        return self._typed(name, "data", _PART).join(parts, _PART, "left_semi").drop(_PART)

@@ -216,10 +216,9 @@ def a15_mean(spark, d):
 @query(
     "w1_full_partition_total",
     sql(
-        """SELECT DISTINCT store_nbr, CAST(MONTH(date) AS INT) AS month_transactions_date,
-        CAST(YEAR(date) AS INT) AS year_transactions_date, CAST(SUM(transactions) OVER (PARTITION BY store_nbr,
-        MONTH(date), YEAR(date) ORDER BY MONTH(date) DESC, YEAR(date) DESC
-        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS BIGINT) AS total_transactions
+        """SELECT DISTINCT store_nbr, CAST(EXTRACT(MONTH FROM date) AS INT) AS month_transactions_date,
+        CAST(EXTRACT(YEAR FROM date) AS INT) AS year_transactions_date,
+        CAST(SUM(transactions) OVER (PARTITION BY store_nbr, date_trunc('month', date)) AS BIGINT) AS total_transactions
         FROM fx_transactions""",
         "transactions",
     ),
@@ -255,7 +254,7 @@ def w2(spark, d):
 def w3(spark, d):
     """The largest date beside each row: a scalar subquery, no single-partition window."""
     rows = retail.train(spark, d)
-    newest = retail.table(spark, d, "lineitem").select(F.max(F.col("l_shipdate").cast("date"))).scalar()
+    newest = rows.select(F.max("date")).scalar()
     return rows.select("id", "date", newest.alias("max_date"))
 
 

@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -216,3 +218,13 @@ def test_one_key_with_most_of_the_rows(spark):
     updated = {i for i in range(n) if i % 3 == 2 and i % 2 == 0}
     assert merged.filter("v = 's' AND k >= 0").count() == n // 3
     assert merged.filter("v = 't'").count() == n // 2 - len(updated)
+
+
+def test_rows_without_a_date_stay_through_merges(spark):
+    lake = Lake(spark, new_folder(spark, "lake"))
+    schema = spark.createDataFrame([], "id int, date date, v int").schema
+    lake.create("fact", schema, "2024-01-01", partition_by="trunc(date, 'month')")
+    for batch in ([(1, None, 1), (2, datetime.date(2024, 2, 3), 2)], [(3, None, 3)], [(2, datetime.date(2024, 2, 3), 5)]):
+        rows_ = spark.createDataFrame(batch, schema)
+        lake.merge("fact", rows_, ["id"], [update_all()], [insert_all()], as_of="2024-01-02")
+    assert sorted((r.id, r.v) for r in lake.read("fact").collect()) == [(1, 1), (2, 5), (3, 3)]
