@@ -247,6 +247,7 @@ def repeated_spans(units: DataFrame, width: int = WIDTH, block: int = BLOCK, kee
     own = F.xxhash64("unit", "place")
     sizes = anchors.groupBy("gram").agg(F.min(own).alias("a"), F.max(own).alias("b"), F.count(F.lit(1)).alias("n"))
     repeated = sizes.filter("a <> b").select("gram", F.ceil(F.col("n") / block).cast("int").alias("parts"))
+    repeated = materialise(repeated, "repeated")  # so that a crowded gram's side of the join can be split
     wanted = anchors.join(repeated, "gram").groupBy("unit").agg(
         F.collect_set(F.struct("gram", "parts", "place")).alias("found")
     )
