@@ -168,6 +168,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, block: int = BLOCK) -
     reps = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
     reps = reps.join(groups, reps["rep"] == groups["id"], "left")
     reps = reps.select("fingerprint", F.coalesce("component_id", "rep").alias("component_id"))
+    reps = materialise(reps, "groups")  # so that a crowded fingerprint's side of the join can be split
     return prints.join(reps, "fingerprint", "left").select("doc_id", "fingerprint", "component_id")
 
 
