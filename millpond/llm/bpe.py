@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from millpond.llm.arrowtext import slices
 
 #: Distinct strings in each of a worker's two tables of known results; more cost time, not results.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 #: Unicode white space; str.split() also splits at the four separators below, which this pattern does not.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACES = re.compile(f"[{_SPACE}]+")
