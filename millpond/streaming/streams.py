@@ -43,9 +43,9 @@ def table_stream(
     return reader.parquet(folder)
 
 
-def changes_stream(lake: Lake, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """The change rows of a table, commit by commit, as a stream."""
-    return table_stream(lake.spark, f"{lake.root}/{name}/changes", files_per_batch=files_per_batch)
+def changes_stream(lake: Lake, name: str) -> DataFrame:
+    """The change rows of a table as a stream; only whole, committed logs are in its folder."""
+    return table_stream(lake.spark, f"{lake.root}/{name}/changes")
 
 
 def _finish(query: StreamingQuery, wait: bool) -> StreamingQuery:
@@ -90,7 +90,7 @@ def upsert_stream(
     matched: Sequence[Clause],
     not_matched: Sequence[Clause],
     checkpoint: str,
-    as_of: str,
+    as_of: str | Callable[[], str],
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     identity: str | None = None,
     drain: bool = True,
@@ -98,14 +98,16 @@ def upsert_stream(
     """Merge every micro-batch into a table.
 
     The checkpoint and batch number name the commit, so a batch that is run
-    again after a failure changes nothing.
+    again after a failure changes nothing. ``as_of`` is the day of all commits, or a
+    function that gives the day of each, for a query that keeps running.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
+        day = as_of() if callable(as_of) else as_of
         # staged: the batch is read from its files once, not once per step of the merge
         lake.merge(
-            name, rows, on, matched, not_matched, as_of, f"{checkpoint}#{batch_id}", identity, staged=True
+            name, rows, on, matched, not_matched, day, f"{checkpoint}#{batch_id}", identity, staged=True
         )
 
     writer = (
