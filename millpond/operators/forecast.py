@@ -35,6 +35,11 @@ FEATURES = (
     *EXOGENOUS,
 )
 
+#: What a day's features may hold when it is forecast from a whole horizon before: no value of the horizon itself.
+HELD_OUT_FEATURES = (*(f"lag{k}" for k in LAGS if k >= HORIZON), "week", "month", *EXOGENOUS)
+#: Columns that are known for a day to come; a direct model reads them from the target's day.
+KNOWN_AHEAD = ("week", "month", *EXOGENOUS)
+
 
 def training_window(
     df: DataFrame, months: int = 12, since: str | None = None, min_store: int | None = None
@@ -76,17 +81,22 @@ def lag_features(frame: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     )
 
 
-def direct_targets(frame: DataFrame, horizon: int, keys: Sequence[str] = SERIES) -> DataFrame:
+def direct_targets(
+    frame: DataFrame, horizon: int, keys: Sequence[str] = SERIES, known: Sequence[str] = ()
+) -> DataFrame:
     """One row per (row, step) with the value ``step`` rows ahead as ``target``.
 
-    The values ahead are read in one window pass and unfolded from an array;
-    no row meets another in a join.
+    The ``known`` columns are those of the row ahead, as they are when a model scores
+    days to come. The rows ahead are read in one window pass and unfolded from an
+    array; no row meets another in a join.
     """
     series = Window.partitionBy(*keys).orderBy("ds")
-    ahead = F.array(*[F.lead("y", k).over(series) for k in range(1, horizon + 1)])
-    unfolded = frame.withColumn("_ahead", ahead).select("*", F.posexplode("_ahead").alias("_at", "target"))
-    return unfolded.filter(F.col("target").isNotNull()).select(
-        *frame.columns, (F.col("_at") + 1).alias("step"), "target"
+    seen = F.struct(F.col("y").alias("target"), *known)
+    ahead = F.array(*[F.lead(seen, k).over(series) for k in range(1, horizon + 1)])
+    unfolded = frame.withColumn("_ahead", ahead).select("*", F.posexplode("_ahead").alias("_at", "_then"))
+    columns = [F.col(f"_then.{c}").alias(c) if c in known else F.col(c) for c in frame.columns]
+    return unfolded.filter(F.col("_then.target").isNotNull()).select(
+        *columns, (F.col("_at") + 1).alias("step"), F.col("_then.target").alias("target")
     )
 
 
@@ -196,11 +206,15 @@ def backtest(
     horizon: int = HORIZON,
     windows: int = 1,
     trees: int = 100,
-    features: Sequence[str] = FEATURES,
+    features: Sequence[str] = HELD_OUT_FEATURES,
     fit=fit_forest,
     **options,
 ) -> DataFrame:
-    """Fit once on the rows before every cutoff, score the held-out windows."""
+    """Fit once on the rows before every cutoff, score the held-out windows.
+
+    The features must reach back at least ``horizon`` rows: a nearer lag would show a
+    held-out day the days before it in its own window.
+    """
     if fit is fit_forest:
         options.setdefault("trees", trees)
     frame = materialise(frame, "panel")
@@ -226,10 +240,12 @@ def predict(
     """``prediction_results`` rows for the next days of every series.
 
     The model was fitted on ``direct_targets``: the newest features of a series
-    plus the step number. Future features replace the known ones.
+    plus the step number, and ``KNOWN_AHEAD`` of the day to come.
     """
-    step_frame = future_frame(frame, horizon, constants)
-    newest = last_rows(frame).drop("ds", *constants)
+    step_frame = future_frame(frame, horizon, constants).withColumns(
+        {"week": F.weekofyear("ds"), "month": F.month("ds")}
+    )
+    newest = last_rows(frame).drop("ds", "week", "month", *constants)
     scored = score(model, step_frame.join(newest, list(SERIES)), [*features, "step"])
     bag = F.to_json(F.struct(*[F.lit(v).alias(c) for c, v in constants.items()]))
     when = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
@@ -267,7 +283,7 @@ def _solve_series(x: np.ndarray, y: np.ndarray, train: np.ndarray, strength: flo
 
 def fit_per_series(
     frame: DataFrame,
-    features: Sequence[str] = FEATURES,
+    features: Sequence[str] = HELD_OUT_FEATURES,
     horizon: int = HORIZON,
     strength: float = 1.0,
     keys: Sequence[str] = SERIES,
@@ -308,7 +324,10 @@ def fit_per_series(
 
 
 def score_per_series(
-    models: DataFrame, frame: DataFrame, features: Sequence[str] = FEATURES, keys: Sequence[str] = SERIES
+    models: DataFrame,
+    frame: DataFrame,
+    features: Sequence[str] = HELD_OUT_FEATURES,
+    keys: Sequence[str] = SERIES,
 ) -> DataFrame:
     """Rows with the prediction of their own series' model, as one SQL expression; null where it has none."""
     n = len(features)

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millpond.operators import features, forecast, tables
-from millpond.operators.forecast import FEATURES, HORIZON, LAGS
+from millpond.operators.forecast import FEATURES, HELD_OUT_FEATURES, HORIZON, KNOWN_AHEAD, LAGS
 from millpond.plans.aggregates import ROLL_WINDOW, ROLLING
 from millpond.plans.registry import query, sql
 from millpond.session import materialise, new_folder
@@ -199,16 +199,16 @@ def m7(spark, d):
 def m8(spark, d):
     """Forest on the rows before the last week of every series, scored on that week."""
     frame = materialise(feature_frame(spark, d), "features")
-    model = forecast.fit_forest(forecast.training_rows(frame))
-    held = forecast.score(model, forecast.backtest_splits(frame))
+    model = forecast.fit_forest(forecast.training_rows(frame), HELD_OUT_FEATURES)
+    held = forecast.score(model, forecast.backtest_splits(frame), HELD_OUT_FEATURES)
     return held.select("store_nbr", "family", "ds", "y", "prediction")
 
 
 @query("m9_gradient_boosting")
 def m9(spark, d):
     frame = materialise(feature_frame(spark, d), "features")
-    model = forecast.fit_gbt(forecast.training_rows(frame))
-    held = forecast.score(model, forecast.backtest_splits(frame))
+    model = forecast.fit_gbt(forecast.training_rows(frame), HELD_OUT_FEATURES)
+    held = forecast.score(model, forecast.backtest_splits(frame), HELD_OUT_FEATURES)
     return held.select("store_nbr", "family", "ds", "y", "prediction")
 
 
@@ -302,7 +302,7 @@ def m13(spark, d):
 
 
 def _direct_model(frame, trees=100):
-    rows = forecast.direct_targets(frame, HORIZON)
+    rows = forecast.direct_targets(frame, HORIZON, known=KNOWN_AHEAD)
     return forecast.fit_forest(rows, [*FEATURES, "step"], label="target", trees=trees)
 
 
@@ -338,7 +338,7 @@ def m16(spark, d):
     frame = materialise(feature_frame(spark, d), "features")
     train, folder = forecast.training_rows(frame), new_folder(spark, "models")
     for trees in (5, 20):
-        forecast.save(spark, forecast.fit_forest(train, trees=trees), folder, "all_series_model")
+        forecast.save(spark, forecast.fit_forest(train, HELD_OUT_FEATURES, trees=trees), folder, "all_series_model")
     model = forecast.load_latest(spark, folder, "all_series_model")
-    held = forecast.score(model, forecast.backtest_splits(frame))
+    held = forecast.score(model, forecast.backtest_splits(frame), HELD_OUT_FEATURES)
     return held.select("store_nbr", "family", "ds", "prediction")

@@ -90,6 +90,24 @@ def test_direct_targets_read_ahead(panel):
     assert got.count() == 4 + 3 + 2
 
 
+def test_known_columns_are_those_of_the_target_day(panel):
+    ahead = forecast.direct_targets(panel, 3, known=["onpromotion", "month"]).filter("store_nbr = 3")
+    got = [tuple(r) for r in ahead.orderBy("ds", "step").select("step", "onpromotion", "target").collect()]
+    promoted, sold = [i % 2 for i in range(5)], [300.0 + 10 * (i % 7) for i in range(5)]
+    assert got == [(k, promoted[i + k], sold[i + k]) for i in range(5) for k in (1, 2, 3) if i + k < 5]
+
+
+def test_sales_after_the_cutoff_change_no_feature_of_the_held_out_week(spark, panel):
+    """What a model sees of the held-out rows is the same whatever was sold in them."""
+    plain = panel.select("store_nbr", "family", "ds", "y", *forecast.EXOGENOUS).filter("store_nbr = 1")
+    late = F.when(F.col("ds") > START + timedelta(days=72), F.lit(1e6)).otherwise(F.col("y"))
+    seen = [
+        rows(forecast.backtest_splits(forecast.lag_features(f)).select("ds", *forecast.HELD_OUT_FEATURES))
+        for f in (plain, plain.withColumn("y", late))
+    ]
+    assert len(seen[0]) == 7 and seen[0] == seen[1]
+
+
 def test_future_frame(panel):
     got = forecast.future_frame(panel, 7, {"oil_price": 50}).filter("store_nbr = 3")
     assert [str(r.ds) for r in got.orderBy("ds").collect()] == [str(START + timedelta(days=4 + k)) for k in range(1, 8)]
