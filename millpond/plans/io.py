@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from millpond.operators import tables
-from millpond.operators.merge import insert_all, update_all
+from millpond.operators.merge import delete, insert_all, update_all
 from millpond.plans.aggregates import as_double
 from millpond.plans.registry import query, sql
 from millpond.schemas import BRONZE, HOLIDAY
@@ -320,3 +320,28 @@ def k13_upsert(spark, d):
     lake.commit("sales", before.withColumn("_change_type", F.lit("insert")), keys, "2024-01-01")
     lake.merge("sales", after, keys, [update_all()], [insert_all()], "2024-01-02", staged=True)
     return as_double(lake.read("sales"), "sales")
+
+
+@query(
+    "k13_partition_delete",
+    sql(
+        """SELECT a.id, a.date, a.store_nbr, a.family, a.sales FROM fx_train_v1 a
+        WHERE DATE_TRUNC('month', a.date) <> DATE '1997-03-01' AND NOT (YEAR(a.date) = 1997 AND EXISTS (
+        SELECT 1 FROM fx_train_v2 b WHERE b.id = a.id AND b.onpromotion = 1 AND MONTH(b.date) > 6))""",
+        "train_v1",
+        "train_v2",
+    ),
+)
+def k13_delete(spark, d):
+    """DELETE through a merge on a fact table by month; one month is emptied and must be gone."""
+    before = retail.train_v1(spark, d).select(
+        "id", "date", "store_nbr", "family", F.col("sales").cast("decimal(14,2)").alias("sales")
+    )
+    newer = retail.train_v2(spark, d).filter("year(date) = 1997 AND onpromotion = 1 AND month(date) > 6")
+    lake = tables.Lake(spark, new_folder(spark, "facts"))
+    keys = ["date", "store_nbr", "family"]
+    lake.create("sales", before.schema, "2024-01-01", partition_by="trunc(date, 'month')")
+    lake.commit("sales", before.withColumn("_change_type", F.lit("insert")), keys, "2024-01-01")
+    gone = newer.select(keys).unionByName(before.filter("trunc(date, 'month') = date'1997-03-01'").select(keys))
+    lake.merge("sales", gone, keys, [delete()], as_of="2024-01-02", staged=True)
+    return as_double(lake.read("sales"), "sales")
