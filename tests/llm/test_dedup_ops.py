@@ -234,3 +234,19 @@ def test_passages_are_found_and_clean_texts_left(docs):
     assert (10, 0) in spans and spans[12, 11].similarity == 1.0 and spans[12, 11].end == 200
     assert all((r.other_id, r.doc_id) in spans for r in found)
     assert substring_dedup.repeated_passages(docs([])).count() == 0
+
+
+def test_passages_are_found_beside_a_smaller_document_with_their_minimum(docs):
+    random_ = random.Random(12)
+    words = lambda n: [f"w{random_.randrange(40000)}" for _ in range(n)]
+    passages = [words(70) for _ in range(3)]
+    # smaller documents quote every few words of the passages between words of their own
+    quotes = [" ".join(sum((words(60) + p[k : k + 12] for k in range(i, 70, 8)), words(60))) for i in (0, 4) for p in passages]
+    rows = list(enumerate(quotes))
+    rows += [(100 * k + i, " ".join(words(40) + p + words(40))) for k, p in enumerate(passages, 5) for i in (0, 1, 2)]
+    want = {(100 * k + i, 100 * k + j) for k in (5, 6, 7) for i in (0, 1, 2) for j in (0, 1, 2) if i != j}
+    for block in (1024, 2):
+        found = {(r.doc_id, r.other_id) for r in substring_dedup.repeated_passages(docs(rows), block=block).collect()}
+        assert found <= want and {x for pair in found for x in pair} == {x for pair in want for x in pair}
+        label = groups_of(800, found)
+        assert all(label[i] == label[j] for i, j in want)
