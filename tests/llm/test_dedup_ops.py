@@ -250,3 +250,14 @@ def test_passages_are_found_beside_a_smaller_document_with_their_minimum(docs):
         assert found <= want and {x for pair in found for x in pair} == {x for pair in want for x in pair}
         label = groups_of(800, found)
         assert all(label[i] == label[j] for i, j in want)
+
+
+def test_a_pair_of_windows_joins_all_regions_it_overlaps():
+    # (b first, b last, a first, a last); the third lies over the first two, the fourth apart on a
+    hits = [(0, 60, 0, 60), (10, 70, 100, 160), (20, 90, 50, 110), (30, 80, 300, 350), (200, 260, 0, 60)]
+    assert sorted(substring_dedup.candidates(hits)) == [(0, 60, 200, 260), (0, 160, 0, 90), (300, 350, 30, 80)]
+
+
+def test_a_similar_passage_is_rarely_missed():
+    # every shared min-hash leads to verification: a pair is missed if none of them agrees
+    assert (1 - substring_dedup.SIMILARITY) ** substring_dedup.HASHES < 1e-4
