@@ -107,7 +107,8 @@ def transcripts(turns_: DataFrame) -> DataFrame:
 
     The style of the markers is drawn by a hash of the conversation, as mixed
     sources have it: names with a colon, other names, tags, headings, or bold
-    names. Turns stand in order of turn, then role and text; nulls are empty.
+    names. Turns stand in order of turn, then role and text; nulls are empty. A
+    row without conv_id is a transcript of its own.
     """
     style = F.pmod(F.xxhash64("conv_id"), F.lit(5))
     role = F.coalesce("role", F.lit("user"))
@@ -122,7 +123,10 @@ def transcripts(turns_: DataFrame) -> DataFrame:
     line = F.concat(named, F.coalesce("text", F.lit("")))
     parts = turns_.select("conv_id", F.struct(F.col("turn"), role.alias("role"), line.alias("line")).alias("part"))
     ordered = F.sort_array(F.collect_list("part"))
-    return parts.groupBy("conv_id").agg(F.array_join(F.transform(ordered, lambda p: p["line"]), "\n").alias("text"))
+    whole = parts.filter("conv_id IS NOT NULL").groupBy("conv_id").agg(
+        F.array_join(F.transform(ordered, lambda p: p["line"]), "\n").alias("text")
+    )
+    return whole.unionByName(parts.filter("conv_id IS NULL").select("conv_id", F.col("part.line").alias("text")))
 
 
 def _labelled(turns_: DataFrame, conversations: int) -> DataFrame:

@@ -199,3 +199,10 @@ def test_transcripts_give_their_turns_back(spark, small):
     assert rows[1].n_turns == rows[2].n_turns == 0 and rows[2].rendered == ""
     assert rows[3].rendered == "<|user|>\nhi\nmore\n<|end|>\n<|assistant|>\nyes\n<|end|>\n"
     assert rows[None].roles == "user,assistant"
+
+
+def test_rows_without_conversation_are_transcripts_of_their_own(spark):
+    rows = [(None, k, "user", f"text {k}") for k in range(5)] + [(1, 1, "assistant", "yes"), (1, 0, "user", "hi")]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    found = [(r.conv_id, r.text.count("text"), r.text.count("\n")) for r in chat_format.transcripts(table).collect()]
+    assert sorted(x[1] for x in found if x[0] is None) == [1] * 5 and sum(x[0] == 1 for x in found) == 1
