@@ -5,9 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from millpond.session import build_session  # noqa: E402
+from helpers import SMALL  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
+from millpond.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -26,7 +26,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def small():
     return SMALL
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,7 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F

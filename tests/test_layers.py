@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 

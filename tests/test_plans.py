@@ -1,7 +1,7 @@
 """Plans that have to hold at scale."""
 
 import pytest
-from conftest import SMALL
+from helpers import SMALL
 from pyspark.sql import functions as F
 
 from millpond.operators import forecast, gold, merge

@@ -5,14 +5,13 @@ import os
 
 import duckdb
 import pytest
-from conftest import SMALL
+from helpers import SMALL
 
 import __spark_entry__ as entry
+from millpond.plans import all_oracle_sql, all_queries
 from tools.check_oracle import rows_of
 
-# trained forests and streams are slow on a test session; the check tool covers them
-SLOW = ("m8", "m9", "m10_backtest", "m11_", "m14", "m15", "m16", "t2_", "t3_", "t6_", "k13_partition_upsert")
-KEYS = sorted(k for k in entry.queries() if not k.startswith(SLOW))
+KEYS = sorted(all_oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -25,10 +24,10 @@ def db():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_equals_its_sql(spark, db, key):
-    frame = entry.queries()[key](spark, SMALL)
+    frame = all_queries()[key](spark, SMALL)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    result = db.execute(entry.oracle_sql()[key])
+    result = db.execute(all_oracle_sql()[key])
     names = [d[0] for d in result.description]
     assert sorted(names) == sorted(frame.columns)
     assert rows_of(frame.columns, [tuple(r) for r in frame.collect()]) == rows_of(names, result.fetchall())
@@ -39,7 +38,7 @@ def test_flagship_and_registry(spark):
     assert frame.columns == ["store_nbr", "family", "month_train_date", "year_train_date", "total_sales"]
     assert frame.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert {k for k in entry.queries() if k not in entry.oracle_sql()} == {
+    assert {k for k in all_queries() if k not in all_oracle_sql()} == {
         "m8_random_forest",
         "m9_gradient_boosting",
         "m10_backtest",

@@ -1,6 +1,6 @@
 from datetime import date
 
-from conftest import rows
+from helpers import rows
 
 from millpond.operators import silver
 from millpond.operators.merge import insert_all, merge, update_all
