@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from millpond.llm import (
     bpe,
+    centroid_clustering,
     chat_format,
     decontamination,
     embedding_dedup,
     language_id,
     secret_scan,
+    sharding,
     simhash,
     substring_dedup,
     suffix_dedup,
     token_counts,
+    whitening,
 )
 
 PIECES = "piece_bpe_32k.model"
@@ -86,6 +89,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_simhash,
         op10_suffix_dedup,
+        op11_whitening,
+        op12_sharding,
+        op13_centroid_clustering,
     )
 }
 ORACLE: dict[str, str] = {}
