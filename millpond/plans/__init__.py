@@ -18,6 +18,7 @@ MODULES = (
     "quality_rules",
     "streams",
     "model_jobs",
+    "series_jobs",
 )
 
 
