@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 META = ("_change_type", "_commit_version", "_commit_timestamp")
 OPENING = ("insert", "update_postimage")
@@ -63,12 +64,38 @@ def append(rows: DataFrame, path: str, version: int, committed_at: str) -> None:
     stamped.write.mode("overwrite").parquet(f"{path}/_commit_version={version}")
 
 
-def read(spark: SparkSession, path: str, start: int, end: int | None = None) -> DataFrame:
-    """Change rows of versions start … end, both included; other partitions are pruned."""
-    log = spark.read.parquet(path)
-    log = log.withColumn("_commit_version", F.col("_commit_version").cast("long"))
-    log = log.filter(F.col("_commit_version") >= start)
-    return log if end is None else log.filter(F.col("_commit_version") <= end)
+def _folders(spark: SparkSession, path: str, start: int, end: int | None) -> list[str]:
+    """The commit folders of a version range that exist.
+
+    With an end each version is asked for by name; without one the log's folder is listed once,
+    names only. What lies in the folders of other versions is never looked at.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if end is not None:
+        names = (f"{path}/_commit_version={v}" for v in range(start, end + 1))
+        return [n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(n))]
+    names = (s.getPath().getName() for s in fs.listStatus(root))
+    found = (int(n.split("=")[1]) for n in names if n.startswith("_commit_version="))
+    return [f"{path}/_commit_version={v}" for v in sorted(found) if v >= start]
+
+
+def read(
+    spark: SparkSession, path: str, start: int, end: int | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """Change rows of versions start … end, both included; no other version's folder is opened or listed.
+
+    Without a ``schema`` (that of a commit's rows, type and timestamp included) the newest folder of
+    the range gives it, or that of the whole log where the range holds no commit.
+    """
+    folders = _folders(spark, path, start, end)
+    if schema is None:
+        schema = spark.read.parquet(folders[-1] if folders else path).schema
+    fields = [f for f in schema if f.name != "_commit_version"]
+    schema = StructType([*fields, StructField("_commit_version", LongType())])
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def apply(state: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:

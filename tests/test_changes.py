@@ -1,3 +1,5 @@
+import os
+
 import datetime
 
 import pytest
@@ -59,8 +61,22 @@ def test_log_reads_versions_inclusive_and_prunes(spark):
         changes.append(row, path, version, f"2024-01-0{version}")
     assert [r.k for r in changes.read(spark, path, 2).orderBy("k").collect()] == [2, 3]
     assert [r.k for r in changes.read(spark, path, 1, 2).orderBy("k").collect()] == [1, 2]
-    plan = changes.read(spark, path, 2)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(_commit_version" in plan
+    assert changes.read(spark, path, 4).count() == 0 and changes.read(spark, path, 4).columns == changes.read(spark, path, 1).columns
+    typed = changes.read(spark, path, 2, 2, changes.read(spark, path, 1).schema)
+    assert [(r.k, r._commit_version) for r in typed.collect()] == [(2, 2)]
+
+
+def test_a_range_opens_no_folder_of_another_version(spark):
+    """A thousand other versions that cannot be read are in nobody's way."""
+    path = new_folder(spark, "log")
+    for version in range(1, 1001):
+        os.makedirs(f"{path}/_commit_version={version}")
+        with open(f"{path}/_commit_version={version}/part-0.parquet", "w") as f:
+            f.write("no Parquet file")
+    changes.append(frame(spark, [(7, "x")]).withColumn("_change_type", F.lit("insert")), path, 1001, "2024-01-01")
+    for log in (changes.read(spark, path, 1001), changes.read(spark, path, 1001, 1003)):
+        assert len(log.inputFiles()) >= 1 and all("=1001/" in f for f in log.inputFiles())
+        assert [(r.k, r._commit_version) for r in log.collect()] == [(7, 1001)]
 
 
 def test_apply_over_several_versions_keeps_the_last(spark):
