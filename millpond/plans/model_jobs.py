@@ -87,6 +87,58 @@ def m3(spark, d):
     return indexer.fit(stores).transform(stores)
 
 
+def _sales_index_sql(column: str) -> str:
+    return f"""SELECT CAST({column} AS VARCHAR) AS label, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC,
+    CAST({column} AS VARCHAR)) - 1 AS DOUBLE) AS idx FROM fx_train t JOIN fx_stores s ON t.store_nbr = s.store_nbr GROUP BY 1"""
+
+
+SALES_INDEX = {"a": _sales_index_sql("type"), "b": _sales_index_sql("cluster")}
+
+
+@query(
+    "m3_sales_frequency_index",
+    sql(
+        """SELECT s.store_nbr, s.type, s.cluster, a.idx AS type_numeric, b.idx AS cluster_numeric FROM fx_stores s
+        LEFT JOIN a ON s.type = a.label LEFT JOIN b ON CAST(s.cluster AS VARCHAR) = b.label""",
+        "train",
+        "stores",
+        **SALES_INDEX,
+    ),
+)
+def m3_sales(spark, d):
+    """Labels ranked by the sales rows that carry them."""
+    stores = retail.stores(spark, d)
+    known = features.sales_labels(retail.train(spark, d), stores, ["type", "cluster"])
+    return features.frequency_index(stores.select("store_nbr", "type", "cluster"), known)
+
+
+@query(
+    "m2_modeling_input",
+    sql(
+        """SELECT mi.* EXCLUDE (type, cluster), CONCAT_WS(',',
+        CASE WHEN b.idx < (SELECT MAX(idx) FROM b) THEN 'cluster_' || b.label END,
+        CASE WHEN a.idx < (SELECT MAX(idx) FROM a) THEN 'type_' || a.label END) AS indicators,
+        CAST((SELECT COUNT(*) FROM a) + (SELECT COUNT(*) FROM b) - 2 AS INT) AS width
+        FROM mi LEFT JOIN a ON mi.type = a.label LEFT JOIN b ON CAST(mi.cluster AS VARCHAR) = b.label""",
+        *INPUT_TABLES,
+        **INPUT_CTES,
+        **SALES_INDEX,
+        mi=MODEL_INPUT,
+    ),
+)
+def m2_stored(spark, d):
+    """The table ``modeling_input``, written twice (the second write replaces the first) and read back."""
+    name = f"{_run_database(spark)}.modeling_input"
+    dims = retail.stores(spark, d), retail.oil(spark, d), retail.holidays(spark, d)
+    features.write_modeling_input(retail.train_v1(spark, d), *dims, name)
+    features.write_modeling_input(retail.train(spark, d), *dims, name)
+    stored = spark.table(name)
+    hot = sorted(c for c in stored.columns if c.startswith(("type_", "cluster_")))
+    names = F.concat_ws(",", *[F.when(F.col(c) == 1.0, c) for c in hot])
+    rest = [c for c in stored.columns if c not in hot]
+    return stored.select(*rest, names.alias("indicators"), F.lit(len(hot)).alias("width"))
+
+
 TYPES = [c for c in "ABCDE"]
 CLUSTERS = [str(i) for i in range(1, 18)]
 

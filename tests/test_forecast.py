@@ -66,6 +66,15 @@ def test_labels_are_counted_per_column(spark):
     assert found["y"] == sorted({p[1] for p in pairs if p[1]})
 
 
+def test_labels_are_ranked_by_sales_and_unknown_stores_have_none(spark):
+    stores = spark.createDataFrame([(1, "A", 3), (2, "B", 3), (3, "C", 4), (4, None, 9)], "store_nbr INT, type STRING, cluster INT")
+    sold = spark.createDataFrame([(2,), (2,), (2,), (1,), (3,), (99,), (4,)], "store_nbr INT")
+    known = features.sales_labels(sold, stores, ["type", "cluster"])
+    assert known == {"type": ["B", "A", "C"], "cluster": ["3", "4", "9"]}
+    indexed = features.frequency_index(stores, known)
+    assert [tuple(r)[3:] for r in indexed.orderBy("store_nbr").collect()] == [(1.0, 0.0), (0.0, 0.0), (2.0, 1.0), (None, 2.0)]
+
+
 def test_backtest_windows_do_not_overlap_training(panel):
     held = forecast.backtest_splits(panel, 7, 2)
     counts = held.filter("store_nbr = 1").groupBy("cutoff").count().orderBy("cutoff").collect()

@@ -4,7 +4,7 @@ import pytest
 from helpers import SMALL
 from pyspark.sql import functions as F
 
-from millpond.operators import forecast, gold, merge
+from millpond.operators import features, forecast, gold, merge
 from millpond.plans import all_queries
 from millpond.session import materialise
 from millpond.sources import retail
@@ -70,3 +70,10 @@ def test_or_condition_keeps_the_equal_key(spark):
 def test_partition_filter_prunes(spark):
     plan = plan_of(all_queries()["k13_partitioned_table"](spark, SMALL))
     assert "PartitionFilters: [isnotnull(locale" in plan
+
+
+def test_model_input_shuffles_no_sales_row_for_its_dimensions(spark, train):
+    """Reduced dimensions are files by the time the joins are planned, and small ones are broadcast."""
+    rest = retail.stores(spark, SMALL), retail.oil(spark, SMALL), retail.holidays(spark, SMALL)
+    plan = plan_of(features.model_input(train, *rest))
+    assert plan.count("BroadcastHashJoin") == 5 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
