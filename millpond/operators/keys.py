@@ -12,9 +12,14 @@ from millpond.session import shared_folder
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
-def assign(new: DataFrame, existing: DataFrame | None, key: str, order_by: Sequence[str]) -> DataFrame:
+def assign(
+    new: DataFrame, existing: DataFrame | None, key: str, order_by: Sequence[str], after: int | None = None
+) -> DataFrame:
     """Number ``new`` rows in ``order_by`` order, after the largest existing key.
 
+    A caller that keeps the largest number given so far passes it as ``after``; then ``existing``
+    is not read at all.
+
     A ``row_number`` over the whole input would sort it in one task. Here the
     rows are range-partitioned and sorted in parallel, and each partition adds
     the number of rows before it; only one count per partition is gathered. The
@@ -38,8 +43,8 @@ def assign(new: DataFrame, existing: DataFrame | None, key: str, order_by: Seque
     )
     # one row per partition: the broadcast size follows the partition count, not the data
     numbered = placed.join(F.broadcast(starts), "_part")
-    top = F.lit(0)
-    if existing is not None:
+    top = F.lit(after or 0)
+    if after is None and existing is not None:
         top = F.coalesce(existing.select(F.max(key)).scalar(), F.lit(0))
     number = (top + F.col("_start") + F.col("_row") + 1).cast("long")
     return numbered.select(number.alias(key), *new.columns)

@@ -76,6 +76,7 @@ def merge(
     match_source: str | None = None,
     identity: str | None = None,
     staged: bool = False,
+    identity_after: int | None = None,
 ) -> DataFrame:
     """The target after the merge.
 
@@ -83,13 +84,14 @@ def merge(
     ``match_target`` / ``match_source`` are further one-sided match conditions.
     The first clause whose condition holds wins; a matched row with none stays.
     Two source rows that would change one target row raise an error. New rows
-    get the next numbers in the ``identity`` column, in key order.
+    get the next numbers in the ``identity`` column, in key order: after ``identity_after``
+    where that is given, else after the target's largest.
     """
     source = materialise(source, "merge-source") if staged else source
     plan = _Plan(target, source, on, matched, not_matched, match_target, match_source)
     parts = [plan.kept()] if matched else [target]
     if not_matched:
-        parts.append(plan.numbered(identity))
+        parts.append(plan.numbered(identity, after=identity_after))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -232,12 +234,12 @@ class _Plan:
         fresh = fresh.withColumn("_act", act).filter(F.col("_act").isNotNull())
         return fresh.select([self._inserted_value(c) for c in self.target.columns])
 
-    def numbered(self, identity: str | None, existing: DataFrame | None = None) -> DataFrame:
+    def numbered(self, identity: str | None, existing: DataFrame | None = None, after: int | None = None) -> DataFrame:
         rows = self.inserted()
         if identity is None:
             return rows
         existing = self.target if existing is None else existing
-        return assign(rows.drop(identity), existing, identity, list(self.pairs)).select(*rows.columns)
+        return assign(rows.drop(identity), existing, identity, list(self.pairs), after).select(*rows.columns)
 
     def _inserted_value(self, name: str) -> Column:
         value = F.when(F.lit(False), F.lit(None))

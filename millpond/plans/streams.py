@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from millpond.operators import changes, silver
 from millpond.operators.merge import insert_all, update_all
+from millpond.operators.gold_store import read_months
 from millpond.operators.tables import Lake, create_database
 from millpond.plans.aggregates import as_double
 from millpond.plans.registry import query, sql
 from millpond.schemas import BRONZE, SILVER
 from millpond.session import new_folder
 from millpond.sources import files, retail
-from millpond.streaming import streams
+from millpond.streaming import streams, upserts
 
 
 def _landing(spark, df, label):
@@ -183,3 +184,104 @@ def s9(spark, d):
     lake.commit("stores", changes.diff(old, new, ["store_nbr"]), ["store_nbr"], "2024-01-02")
     streams.append_stream(streams.changes_stream(lake, "stores"), out, checkpoint)
     return streams.read_loads(spark, out).groupBy("_change_type").agg(F.count("*").alias("n"))
+
+
+# -- queries that keep running, and upserts into plain Parquet ------------------
+@query("k5_running_stream", sql("SELECT * FROM fx_oil", "oil"))
+def k5(spark, d):
+    """A query that keeps running: files that come meanwhile are taken, and a restart goes on where it stopped."""
+    oil = retail.oil(spark, d)
+    folder, out, checkpoint = (new_folder(spark, n) for n in ("landing-oil", "bronze-oil", "ck"))
+    parts = ["YEAR(date) < 1997", "YEAR(date) BETWEEN 1997 AND 1998", "YEAR(date) > 1998 OR date IS NULL"]
+
+    def land(part):
+        oil.filter(parts[part]).write.mode("append").option("header", True).csv(folder)
+
+    def run(*steps):
+        stream = streams.file_stream(spark, folder, BRONZE["bronze_oil_prices"].schema)
+        running = streams.append_stream(stream, out, checkpoint, drain=False)
+        try:
+            for step in steps:
+                step()
+                running.processAllAvailable()
+        finally:
+            running.stop()
+
+    land(0)
+    run(lambda: None, lambda: land(1))
+    run(lambda: None, lambda: land(2))
+    return streams.read_loads(spark, out)
+
+
+def _merged(spark, table, bronze, by_month=False):
+    """Bronze rows in several files, merged batch by batch; the table's folder."""
+    spec, (matched, not_matched) = SILVER[table], silver.clauses(table)
+    source, folder, checkpoint = (new_folder(spark, n) for n in ("bronze", table, "ck"))
+    bronze.write.option("maxRecordsPerFile", 20_000).parquet(source)
+    upsert = upserts.upsert_months if by_month else upserts.upsert_state
+    upsert(
+        streams.table_stream(spark, source, files_per_batch=2), folder, spec.schema, spec.keys, matched, not_matched,
+        checkpoint, prepare=lambda batch: silver.prepare(table, batch), identity=spec.identity,
+    )
+    return folder
+
+
+def _with_ids(df, key):
+    """Every row with how many different numbers the table has, and the largest."""
+    ids = df.select(F.count_distinct(key)).scalar(), df.select(F.max(key)).scalar()
+    return df.drop(key).withColumns({"ids": ids[0], "largest": ids[1]})
+
+
+@query(
+    "t2_state_oil_prices",
+    sql("SELECT date, dcoilwtico AS oil_price, (SELECT COUNT(*) FROM fx_oil) AS ids, (SELECT COUNT(*) FROM fx_oil) AS largest FROM fx_oil", "oil"),
+)
+def t2_state_oil(spark, d):
+    folder = _merged(spark, "silver_dim_oil_prices", retail.oil(spark, d))
+    state = upserts.read_state(spark, folder, SILVER["silver_dim_oil_prices"].schema)
+    return as_double(_with_ids(state, "id"), "oil_price")
+
+
+@query("t2_months_fact_train", sql("SELECT * FROM fx_train", "train"))
+def t2_months_train(spark, d):
+    folder = _merged(spark, "silver_fact_train", retail.train(spark, d), by_month=True)
+    return as_double(read_months(spark, folder), "sales")
+
+
+@query(
+    "t2_months_transactions",
+    sql("SELECT *, (SELECT COUNT(*) FROM fx_transactions) AS ids, (SELECT COUNT(*) FROM fx_transactions) AS largest FROM fx_transactions", "transactions"),
+)
+def t2_months_transactions(spark, d):
+    """Numbers stay consecutive over batches that never scan the fact for the largest one."""
+    folder = _merged(spark, "silver_dim_transactions", retail.transactions(spark, d), by_month=True)
+    return _with_ids(read_months(spark, folder), "id")
+
+
+@query("t3_state_dedup", sql("SELECT DISTINCT * FROM fx_holidays_events", "holidays_events"))
+def t3_state(spark, d):
+    """Every row arrives three times; a batch drops its repeats, the merge those across batches."""
+    rows = retail.holidays(spark, d)
+    folder = _merged(spark, "silver_dim_holidays_events", rows.unionByName(rows).unionByName(rows))
+    return upserts.read_state(spark, folder, SILVER["silver_dim_holidays_events"].schema).drop("id")
+
+
+@query(
+    "t6_daily_oil_feed",
+    sql(
+        """SELECT COALESCE(b.date, a.date) AS date, CASE WHEN b.date IS NOT NULL THEN b.dcoilwtico + 1 ELSE a.dcoilwtico END AS dcoilwtico
+        FROM fx_oil a LEFT JOIN (SELECT * FROM fx_oil WHERE DAY(date) < 8) b ON a.date = b.date""",
+        "oil",
+    ),
+)
+def t6_daily(spark, d):
+    """The daily feed as one job: new files go to bronze, new bronze rows into the price table; late corrections win."""
+    oil, schema = retail.oil(spark, d), BRONZE["bronze_oil_prices"].schema
+    landing, bronze, state = (new_folder(spark, n) for n in ("landing-oil", "bronze-oil", "oil-prices"))
+    late = oil.filter(F.dayofmonth("date") < 8).withColumn("dcoilwtico", F.col("dcoilwtico") + 1)
+    for feed in (oil, late):
+        feed.write.mode("append").option("header", True).csv(landing)
+        streams.append_stream(streams.file_stream(spark, landing, schema), bronze, f"{bronze}-ck")
+        new = streams.table_stream(spark, f"{bronze}/first", schema)
+        upserts.upsert_state(new, state, schema, ["date"], [update_all()], [insert_all()], f"{state}-ck")
+    return upserts.read_state(spark, state, schema)

@@ -61,17 +61,20 @@ def append_stream(
     table: str | None = None,
     load: str = "first",
     drain: bool = True,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Append a stream to a Parquet folder, or to a catalog table.
 
     ``drain`` processes what is there and stops, otherwise the query keeps
-    running. Running the same ``load`` again adds only new files; another load
+    running and takes new files as soon as it is free, or ``every`` so often. Running the same ``load`` again adds only new files; another load
     name has its own checkpoint, so every file is loaded once more.
     """
     writer = df.writeStream.format("parquet").outputMode("append")
     writer = writer.option("checkpointLocation", f"{checkpoint}/{load}")
     if drain:
         writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
     query = writer.start(f"{folder}/{load}") if table is None else writer.toTable(table)
     return _finish(query, drain)
 

@@ -1,21 +1,24 @@
+import glob
+import os
 from datetime import date
 
+import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
-from millpond.operators import silver
+from millpond.operators import keys, silver
+from millpond.operators.gold_store import read_months
 from millpond.operators.merge import insert_all, merge, update_all
 from millpond.operators.tables import Lake
 from millpond.schemas import SILVER
 from millpond.session import new_folder
-from millpond.streaming import streams
+from millpond.streaming import streams, upserts
 
 OIL = "date DATE, dcoilwtico DOUBLE"
 
 
 def write_csv(folder, name, text):
     path = f"{folder}/{name}"
-    import os
-
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as f:
         f.write(text)
@@ -77,9 +80,6 @@ def test_a_replayed_batch_is_skipped(spark):
         )
 
     run()
-    import glob
-    import os
-
     for marker in glob.glob(f"{checkpoint.removeprefix('file:')}/commits/*") + glob.glob(f"{checkpoint.removeprefix('file:')}/commits/.*crc"):
         os.remove(marker)
     run()
@@ -102,3 +102,104 @@ def test_late_rows_are_upserts(spark):
     target = spark.createDataFrame([(date(2016, 1, 5), 5.0)], OIL)
     late = spark.createDataFrame([(date(2016, 1, 1), 1.0), (date(2016, 1, 5), 5.5)], OIL)
     assert [r[1] for r in rows(merge(target, late, ["date"], [update_all()], [insert_all()]))] == [1.0, 5.5]
+
+
+def forget_commits(checkpoint):
+    for marker in glob.glob(f"{checkpoint}/commits/*") + glob.glob(f"{checkpoint}/commits/.*crc"):
+        os.remove(marker)
+
+
+def test_a_running_query_takes_new_files_and_goes_on_after_a_restart(spark):
+    folder = landing(spark)
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "ck")
+
+    def start(every=None):
+        return streams.append_stream(streams.file_stream(spark, folder, OIL, "*oil*.csv"), out, checkpoint, drain=False, every=every)
+
+    running = start()
+    running.processAllAvailable()
+    assert running.isActive and streams.read_loads(spark, out).count() == 6
+    write_csv(folder, "3/oil_c.csv", "date,dcoilwtico\n2016-01-04,14\n")
+    running.processAllAvailable()
+    assert streams.read_loads(spark, out).count() == 7
+    running.stop()
+    write_csv(folder, "4/oil_d.csv", "date,dcoilwtico\n2016-01-05,15\n")
+    again = start("100 milliseconds")
+    again.processAllAvailable()
+    again.stop()
+    assert streams.read_loads(spark, out).count() == 8
+
+
+VISITS = "date DATE, store_nbr INT, transactions INT"
+
+
+def visits(spark, folder, *data):
+    spark.createDataFrame(data, VISITS).coalesce(1).write.mode("append").parquet(folder)
+
+
+def merge_visits(spark, source, folder, checkpoint):
+    table, spec = "silver_dim_transactions", SILVER["silver_dim_transactions"]
+    upserts.upsert_months(
+        streams.table_stream(spark, source, VISITS), folder, spec.schema, spec.keys, *silver.clauses(table), checkpoint, identity="id"
+    )
+
+
+def test_months_are_merged_in_place_and_numbers_go_on(spark):
+    source, folder, checkpoint = (new_folder(spark, n) for n in ("bronze", "fact", "ck"))
+    jan, feb = date(2016, 1, 5), date(2016, 2, 5)
+    visits(spark, source, (jan, 1, 10), (feb, 1, 20))
+    merge_visits(spark, source, folder, checkpoint)
+    before = set(glob.glob(f"{folder}/month=2016-01-01/*.parquet"))
+    visits(spark, source, (feb, 1, 21), (feb, 2, 30))
+    merge_visits(spark, source, folder, checkpoint)
+    got = rows(read_months(spark, folder).select("id", "date", "store_nbr", "transactions"))
+    assert got == [(1, jan, 1, 10), (2, feb, 1, 21), (3, feb, 2, 30)]
+    assert set(glob.glob(f"{folder}/month=2016-01-01/*.parquet")) == before  # not in the batch, not touched
+    forget_commits(checkpoint)
+    merge_visits(spark, source, folder, checkpoint)
+    assert rows(read_months(spark, folder).select("id", "date", "store_nbr", "transactions")) == got
+
+
+def test_a_batch_that_died_before_its_mark_gives_no_number_twice(spark):
+    source, folder, checkpoint = (new_folder(spark, n) for n in ("bronze", "fact", "ck"))
+    visits(spark, source, (date(2016, 1, 5), 1, 10), (date(2016, 1, 6), 1, 20))
+    merge_visits(spark, source, folder, checkpoint)
+    os.rename(f"{folder}-marks", f"{folder}-lost")
+    visits(spark, source, (date(2016, 1, 7), 1, 30))
+    merge_visits(spark, source, folder, checkpoint)
+    assert sorted(r.id for r in read_months(spark, folder).collect()) == [1, 2, 3]
+
+
+def test_a_row_without_a_date_stops_the_merge_by_month(spark):
+    source, folder, checkpoint = (new_folder(spark, n) for n in ("bronze", "fact", "ck"))
+    visits(spark, source, (None, 1, 10))
+    with pytest.raises(Exception, match="without a date"):
+        merge_visits(spark, source, folder, checkpoint)
+
+
+def test_a_replayed_batch_writes_the_same_state(spark):
+    source, folder, checkpoint = (new_folder(spark, n) for n in ("bronze", "state", "ck"))
+    schema = spark.createDataFrame([], OIL).schema
+
+    def run():
+        upserts.upsert_state(streams.table_stream(spark, source, OIL), folder, schema, ["date"], [update_all()], [insert_all()], checkpoint)
+
+    assert upserts.read_state(spark, folder, schema).count() == 0
+    for price in (1.0, 2.0):
+        spark.createDataFrame([(date(2016, 1, 1), price), (None, price)], OIL).write.mode("append").parquet(source)
+        run()
+    got = rows(upserts.read_state(spark, folder, schema))
+    assert sorted(r[1] for r in got) == [1.0, 2.0, 2.0]  # a null date matches nothing, so both came in
+    forget_commits(checkpoint)
+    run()
+    assert rows(upserts.read_state(spark, folder, schema)) == got
+
+
+def test_a_kept_mark_needs_no_scan_of_the_table(spark):
+    table = spark.createDataFrame([(7, "x")], "id LONG, v STRING")
+    fresh = spark.createDataFrame([("a",), ("b",)], "v STRING")
+    kept = keys.assign(fresh, table, "id", ["v"], after=40)
+    assert rows(kept) == [(41, "a"), (42, "b")] and "Subquery" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(keys.assign(fresh, table, "id", ["v"])) == [(8, "a"), (9, "b")]
+    merged = merge(table, fresh, ["v"], [], [insert_all()], identity="id", identity_after=40)
+    assert sorted(r.id for r in merged.select(F.col("id")).collect()) == [7, 41, 42]
