@@ -14,13 +14,9 @@ OPENING = ("insert", "update_postimage")
 CLOSING = ("update_preimage", "delete")
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """One struct per key; a repeated key raises instead of multiplying pairs."""
-    packed = df.select(*keys, F.struct("*").alias("r"))
-    grouped = packed.groupBy(*keys).agg(F.count("*").alias("n"), F.first("r").alias("r"))
-    clash = F.raise_error(F.lit(f"diff: the {name} state repeats a key"))
-    row = F.when(F.col("n") > 1, clash).otherwise(F.col("r"))
-    return grouped.select([F.col(k).alias(f"{name}_{k}") for k in keys] + [row.alias(name)])
+def _most(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Rows of the most frequent key, as a scalar: keys alone, counted in a hash aggregate."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(F.max("n")).scalar()
 
 
 def _packed(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -30,15 +26,14 @@ def _packed(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 def diff(before: DataFrame, after: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """insert / delete / update_preimage / update_postimage rows between two states.
 
-    Both sides are hashed on the key once; the per-key check uses the same
-    partitioning as the join. ``unique=True`` skips the check for states that
-    hold one row per key already, such as versions of a merged table. Null keys
-    equal each other. Unchanged rows give nothing.
+    Both sides are hashed on the key once. A repeated key raises: keys are counted apart, without
+    the rest of their rows, so no row is sorted for the check. ``unique=True`` skips it for states
+    that hold one row per key already, such as versions of a merged table. Null keys equal each
+    other. Unchanged rows give nothing.
     """
     names = before.columns
-    side = _packed if unique else _one_per_key
-    old = side(before, keys, "old")
-    new = side(after.select(*names), keys, "new")
+    old = _packed(before, keys, "old")
+    new = _packed(after.select(*names), keys, "new")
     match = reduce(Column.__and__, [old[f"old_{k}"].eqNullSafe(new[f"new_{k}"]) for k in keys])
     both = old.join(new, match, "full_outer")
     is_new, is_gone = F.col("old").isNull(), F.col("new").isNull()
@@ -52,6 +47,9 @@ def diff(before: DataFrame, after: DataFrame, keys: Sequence[str], unique: bool
         .when(is_gone, F.array(event("delete", "old")))
         .when(~same, F.array(event("update_preimage", "old"), event("update_postimage", "new")))
     )
+    if not unique:
+        clash = F.raise_error(F.lit("diff: a state repeats a key"))
+        events = F.when((_most(before, keys) > 1) | (_most(after, keys) > 1), clash).otherwise(events)
     return both.select(F.explode(events).alias("e")).select("e.r.*", "e._change_type")
 
 

@@ -3,19 +3,20 @@
 Clause conditions and values are SQL text over two names, ``t`` (target row) and
 ``s`` (source row): ``update({"sales": "s.sales"}, when="s.kind = 'new'")``.
 
-The plan is built for a large target and a smaller source:
-
-* the source is reduced to one row per key with a map-side combine, so a key
-  that repeats a million times never reaches one task as a million rows;
-* the target is *left* joined to that, which Spark can turn into a broadcast
-  join once it has measured the source (a full outer join cannot broadcast and
-  always shuffles the whole target);
-* new rows come from an anti join against only those target keys that occur in
-  the source;
-* rows with a null key can match nothing, so they skip the joins altogether.
-
-The source is read three times (rows, keys, rows). That is cheap for a stored
-table; ``staged=True`` writes a source that is expensive to compute once.
+Source keys are counted once by a hash aggregate, a small job of its own; what it finds decides the plan:
+
+* no key repeats and the target is small (or the part of a table that a batch touches): one full
+  outer join;
+* no key repeats and the target is large: the target is *left* joined to the source, which Spark
+  can turn into a broadcast join (a full outer join cannot broadcast and always shuffles the whole
+  target), and new rows come from an anti join against only those target keys that occur in the
+  source;
+* some keys repeat: clauses are evaluated on every pair, and the target rows of those keys alone
+  are brought back to one row each. A target row that two source rows would change raises; source
+  rows that no clause would use do not count.
+
+Rows with a null key can match nothing, so they skip the joins altogether. ``staged=True`` writes
+a source that is expensive to compute once, before it is counted and joined.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from millpond.operators.keys import assign
 from millpond.session import materialise
 
+#: Bytes by the planner's estimate up to which a target meets its source in one full outer join.
+SMALL_TARGET = 256 << 20
 _TARGET_REF = re.compile(r"(?<![\w.`])t\.")
 
 
@@ -89,6 +92,8 @@ def merge(
     """
     source = materialise(source, "merge-source") if staged else source
     plan = _Plan(target, source, on, matched, not_matched, match_target, match_source)
+    if matched and not_matched and identity is None and plan.fits_one_join():
+        return plan.whole()
     parts = [plan.kept()] if matched else [target]
     if not_matched:
         parts.append(plan.numbered(identity, after=identity_after))
@@ -133,6 +138,8 @@ class _Plan:
         self.matched, self.not_matched = tuple(matched), tuple(not_matched)
         self.match_target = F.expr(match_target) if match_target else F.lit(True)
         self.match_source = F.expr(match_source) if match_source else F.lit(True)
+        self._many: DataFrame | None = None
+        self._counted = False
         if any(c.action == "insert" for c in self.matched):
             raise ValueError("insert is a not-matched action")
         if any(c.action != "insert" for c in self.not_matched):
@@ -151,34 +158,70 @@ class _Plan:
         has_keys = reduce(Column.__and__, [F.col(k).isNotNull() for k in self._key_names()])
         return has_keys & F.coalesce(self.match_source, F.lit(False))
 
-    def _source_per_key(self) -> DataFrame:
+    def _usable(self) -> DataFrame:
+        """Source rows that may match; where no condition reads the target, only those a clause would use."""
         rows = self._wrapped().filter(self._can_match())
         conditions = [c.when for c in self.matched]
         if all(c is not None and not _TARGET_REF.search(c) for c in conditions):
-            # rows no clause would use neither change a target row nor clash
             rows = rows.filter(reduce(Column.__or__, [c.condition() for c in self.matched]))
-        # max, not first: it is blind to row order, so Catalyst drops a sort in the source
-        return rows.groupBy(*self._key_names()).agg(F.count("*").alias("_n"), F.max("s").alias("s"))
+        return rows
+
+    def _repeated(self) -> DataFrame | None:
+        """The keys that several usable source rows have; None without any. Counted once."""
+        if not self._counted:
+            found = self._usable().groupBy(*self._key_names()).count().filter("count > 1").drop("count")
+            found = materialise(found, "repeated-keys")
+            self._many, self._counted = (None if found.isEmpty() else found), True
+        return self._many
+
+    def fits_one_join(self) -> bool:
+        size = int(str(self.target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return size <= SMALL_TARGET and self._repeated() is None
 
     # -- target side -------------------------------------------------------
     def _match_on(self) -> Column:
         equal = [F.col(f"t.`{t}`") == F.col(f"_k{i}") for i, t in enumerate(self.pairs)]
         return reduce(Column.__and__, equal) & F.coalesce(self.match_target, F.lit(False))
 
-    def _acted(self, how: str) -> DataFrame:
-        """Target rows joined to their source row, with the chosen clause in ``_act``."""
-        joined = self.target.alias("t").join(self._source_per_key(), self._match_on(), how)
-        act = F.when(F.col("_n").isNull(), F.lit(None))
-        for i, clause in enumerate(self.matched):
+    def _chosen(self, clauses: Sequence[Clause]) -> Column:
+        """Number of the first clause whose condition holds."""
+        act = F.when(F.lit(False), F.lit(None).cast("int"))
+        for i, clause in enumerate(clauses):
             act = act.when(clause.condition(), F.lit(i))
-        # rows no clause can use are gone by now, so a second row is a clash; where
-        # a clause reads the target, the source must hold one row per key
-        # the target's key in the message also ties the check to the joined row: the
-        # optimizer cannot move it below the join, where unmatched keys repeat freely
-        key = F.concat_ws(", ", *[F.col(f"t.`{t}`").cast("string") for t in self.pairs])
+        return act
+
+    def _acted(self, how: str) -> DataFrame:
+        """Target rows with their source row and the chosen clause in ``_act``, one row per target row."""
+        many = self._repeated()
+        target = self.target if many is None else self.target.withColumn("_row", F.monotonically_increasing_id())
+        joined = target.alias("t").join(self._usable(), self._match_on(), how)
+        joined = joined.withColumn("_act", F.when(F.col("s").isNotNull(), self._chosen(self.matched)))
+        if many is None:
+            return joined
+        keys = self._key_names()
+        names = self.target.columns
+        flagged = joined.join(many.select(*[F.col(k).alias(f"_m{k}") for k in keys], F.lit(True).alias("_several")),
+                              reduce(Column.__and__, [F.col(k) == F.col(f"_m{k}") for k in keys]), "left")
+        packed = flagged.select(F.struct(*[F.col(f"t.`{c}`") for c in names]).alias("t"), "s", "_act", "_row", "_several")
+        once = packed.filter("_several IS NULL").select("t", "s", "_act")
+        # the pairs of a repeated key: at most one of a target row's may change it, and is the one kept
+        best = F.min_by(F.struct("t", "s", "_act"), F.coalesce(F.when(F.col("_act").isNotNull(), 0), F.lit(1)))
+        pairs = packed.filter("_several").groupBy("_row").agg(F.count("_act").alias("_n"), best.alias("_p"))
+        key = F.concat_ws(", ", *[F.col(f"_p.t.`{t}`").cast("string") for t in self.pairs])
         clash = F.raise_error(F.concat(F.lit("merge: several source rows would change one target row: "), key))
-        act = F.when(F.col("_n") > 1, clash).otherwise(act)
-        return joined.withColumn("_act", act.cast("int"))
+        act = F.when(F.col("_n") > 1, clash).otherwise(F.col("_p._act")).cast("int")
+        return once.unionByName(pairs.select("_p.t", "_p.s", act.alias("_act")))
+
+    def whole(self) -> DataFrame:
+        """Kept, changed and new rows from one full outer join; source keys do not repeat."""
+        marked = self.target.withColumn("_there", F.lit(True)).alias("t")
+        rows = self._wrapped().withColumn("_able", self._can_match())
+        joined = marked.join(rows.filter("_able"), self._match_on(), "full_outer")
+        there = F.col("_there").isNotNull()
+        act = F.when(there, F.when(F.col("s").isNotNull(), self._chosen(self.matched))).otherwise(self._chosen(self.not_matched))
+        acted = joined.withColumn("_act", act).filter(F.when(there, ~self._deleted()).otherwise(F.col("_act").isNotNull()))
+        merged = acted.select([F.when(there, self._new_value(c)).otherwise(self._inserted_value(c)).alias(c) for c in self.target.columns])
+        return merged.unionByName(self._fresh(rows.filter("NOT _able")))
 
     def _new_value(self, name: str) -> Column:
         old = F.col(f"t.`{name}`")
@@ -227,12 +270,11 @@ class _Plan:
             .select([F.col(f"t.`{t}`").alias(f"_k{i}") for i, t in enumerate(self.pairs)])
         )
         seen = target_keys.join(able.select(keys), keys, "left_semi").distinct()
-        fresh = able.join(seen, keys, "left_anti").unionByName(rows.filter(~self._can_match()))
-        act = F.when(F.lit(False), F.lit(None).cast("int"))
-        for i, clause in enumerate(self.not_matched):
-            act = act.when(clause.condition(), F.lit(i))
-        fresh = fresh.withColumn("_act", act).filter(F.col("_act").isNotNull())
-        return fresh.select([self._inserted_value(c) for c in self.target.columns])
+        return self._fresh(able.join(seen, keys, "left_anti").unionByName(rows.filter(~self._can_match())))
+
+    def _fresh(self, rows: DataFrame) -> DataFrame:
+        acted = rows.withColumn("_act", self._chosen(self.not_matched)).filter(F.col("_act").isNotNull())
+        return acted.select([self._inserted_value(c) for c in self.target.columns])
 
     def numbered(self, identity: str | None, existing: DataFrame | None = None, after: int | None = None) -> DataFrame:
         rows = self.inserted()

@@ -1,9 +1,12 @@
+import random
+
 import pytest
 from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
+from millpond.operators import merge as operators
 from millpond.operators.merge import (
     delete,
     delete_where,
@@ -174,3 +177,58 @@ def test_merge_matches_a_dictionary_update(spark, old, new):
     source = frame(spark, [(k, *v) for k, v in new.items()])
     merged = merge(target, source, ["k"], [update_all()], [insert_all()])
     assert rows(merged) == rows(frame(spark, [(k, *v) for k, v in (old | new).items()]))
+
+
+def conditional(target, source):
+    return operators.merge(
+        target,
+        source,
+        ["k"],
+        [delete("s.v = 'gone'"), update({"v": "s.v"}, when="s.n > t.n")],
+        [insert({"k": "s.k", "v": "s.v", "n": "s.n"}, when="s.v <> 'gone'")],
+    )
+
+
+def test_only_source_rows_a_clause_would_use_count_as_repeats(spark):
+    """Two rows for a key are fine while the target lets one of them act, or none."""
+    ddl = "k INT, v STRING, n INT"
+    target = spark.createDataFrame([(1, "a", 5), (1, "b", 9), (2, "c", 5), (3, "d", 5)], ddl)
+    source = spark.createDataFrame([(1, "x", 7), (1, "y", 1), (2, "z", 1), (2, "w", 2), (4, "n", 1), (4, "m", 2)], ddl)
+    got = rows(conditional(target, source))
+    assert got == sorted([(1, "x", 5), (1, "b", 9), (2, "c", 5), (3, "d", 5), (4, "n", 1), (4, "m", 2)], key=repr)
+    clash = source.unionByName(spark.createDataFrame([(1, "q", 8)], ddl))
+    with pytest.raises(PySparkException, match="several source rows"):
+        conditional(target, clash).collect()
+
+
+def test_a_name_in_a_text_literal_changes_nothing(spark):
+    target = spark.createDataFrame([(1, "a", 5)], "k INT, v STRING, n INT")
+    source = spark.createDataFrame([(1, "t.x", 1), (1, "b", 2)], "k INT, v STRING, n INT")
+    merged = operators.merge(target, source, ["k"], [update({"v": "s.v"}, when="s.v = 't.x'")])
+    assert rows(merged) == [(1, "t.x", 5)]
+
+
+def test_one_join_and_several_give_the_same(spark, monkeypatch):
+    """The form for small targets against the one for large ones, with null keys, extra conditions and unseen rows."""
+
+
+    random_ = random.Random(7)
+    ddl = "k INT, j STRING, v STRING, n INT"
+    row = lambda k: (k, random_.choice(["a", "b", None]), random_.choice(["p", "gone", None]), random_.randrange(5))
+    target = spark.createDataFrame([row(random_.choice([*range(30), None])) for _ in range(60)], ddl)
+    seen = {}
+    for _ in range(60):
+        r = row(random_.choice([*range(20, 45), None]))
+        seen[r[:2] if None not in r[:2] else len(seen)] = r
+    source = spark.createDataFrame(list(seen.values()), ddl)
+    results = []
+    for size in (1 << 80, -1):
+        monkeypatch.setattr(operators, "SMALL_TARGET", size)
+        merged = operators.merge(
+            target, source, ["k", "j"], [delete("s.v = 'gone'"), update({"n": "s.n + t.n"}, when="s.n > t.n")],
+            [insert_all(when="s.n < 4")], match_target="t.n > 0", match_source="s.n <> 2",
+        )
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert ("FullOuter" in plan) == (size > 0)
+        results.append(rows(merged))
+    assert results[0] == results[1] and len(results[0]) > 50

@@ -4,7 +4,7 @@ import pytest
 from helpers import SMALL
 from pyspark.sql import functions as F
 
-from millpond.operators import features, forecast, gold, merge
+from millpond.operators import changes, features, forecast, gold, merge
 from millpond.plans import all_queries
 from millpond.session import materialise
 from millpond.sources import retail
@@ -53,7 +53,7 @@ def test_a_small_source_is_broadcast_and_the_target_not_shuffled(spark, train):
     merged = merge.merge(train, source, keys, [merge.update({"sales": "s.sales"})])
     plan = plan_of(merged)
     assert "BroadcastHashJoin" in plan and "FullOuter" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1  # the source's, for its one row per key
+    assert "Exchange hashpartitioning" not in plan and "SortAggregate" not in plan
 
 
 def test_an_order_by_inside_a_merge_source_is_dropped(spark, train):
@@ -77,3 +77,16 @@ def test_model_input_shuffles_no_sales_row_for_its_dimensions(spark, train):
     rest = retail.stores(spark, SMALL), retail.oil(spark, SMALL), retail.holidays(spark, SMALL)
     plan = plan_of(features.model_input(train, *rest))
     assert plan.count("BroadcastHashJoin") == 5 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_a_small_target_meets_its_source_once(spark, train):
+    """One full outer join: each side is read and shuffled once, nothing is sorted but for the join."""
+    source = materialise(train.filter("store_nbr = 1"), "source")
+    plan = plan_of(merge.merge(train, source, ["id"], [merge.update_all()], [merge.insert_all()]))
+    assert plan.count("FullOuter") == 1 and plan.count("Exchange hashpartitioning") == 2
+    assert "SortAggregate" not in plan and "NestedLoop" not in plan
+
+
+def test_a_diff_sorts_no_row_to_find_repeated_keys(spark, train):
+    plan = plan_of(changes.diff(train, train.withColumn("sales", F.col("sales") + 1), ["id"]))
+    assert "SortAggregate" not in plan and "Window" not in plan and plan.count("HashAggregate") >= 4
