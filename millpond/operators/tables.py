@@ -88,12 +88,17 @@ def conform(df: DataFrame, schema: StructType, defaults: Mapping[str, str] | Non
 
 
 def clone_all(spark: SparkSession, source_db: str, target_db: str, pattern: str = "*") -> list[str]:
-    """Copy every table of a database into another, layout included, replacing what is there."""
-    names = [t.name for t in spark.catalog.listTables(source_db, pattern) if not t.isTemporary]
+    """Copy every table of a database into another, replacing what is there.
+
+    The copy is created like its source in the catalog, so it has the same VARCHAR lengths, column
+    defaults, nullability and partitioning; its rows are then inserted.
+    """
+    names = [t.name for t in spark.catalog.listTables(source_db, pattern) if not t.isTemporary and t.tableType != "VIEW"]
     for name in names:
-        source = f"{source_db}.{name}"
-        partitions = [c.name for c in spark.catalog.listColumns(source) if c.isPartition]
-        write(spark.table(source), f"{target_db}.{name}", "overwrite", partitions)
+        source, target = f"{source_db}.`{name}`", f"{target_db}.`{name}`"
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"CREATE TABLE {target} LIKE {source}")
+        spark.table(source).write.insertInto(target)
     return names
 
 

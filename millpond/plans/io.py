@@ -272,6 +272,26 @@ def k15(spark, d):
     return oil.unionByName(visits)
 
 
+@query(
+    "k15_clone_types",
+    sql(
+        """SELECT store_nbr, city, 'old' AS status, type FROM fx_stores
+        UNION ALL SELECT store_nbr, city, 'new', type FROM fx_stores""",
+        "stores",
+    ),
+)
+def k15_types(spark, d):
+    """A clone keeps rows, layout, lengths and defaults: rows added to it later take the default of its source."""
+    source, target = _database(spark), _database(spark)
+    columns = "store_nbr INT, city VARCHAR(30), status VARCHAR(3) DEFAULT 'new', type STRING"
+    tables.create(spark, f"{source}.load_log", columns, partition_by=["type"])
+    rows = retail.stores(spark, d).select("store_nbr", "city", "type")
+    spark.sql(f"INSERT INTO {source}.load_log SELECT store_nbr, city, 'old', type FROM {{rows}}", rows=rows)
+    tables.clone_all(spark, source, target)
+    spark.sql(f"INSERT INTO {target}.load_log (store_nbr, city, type) SELECT * FROM {{rows}}", rows=rows)
+    return spark.table(f"{target}.load_log")
+
+
 @query("k16_csv_export", sql("SELECT * FROM fx_train", "train"))
 def k16(spark, d):
     path = _csv(spark, retail.train(spark, d), "train-csv")

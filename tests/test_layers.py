@@ -299,3 +299,21 @@ def test_synthetic_rows_depend_on_the_id_alone(spark):
     ).first()
     assert ends[0] == 1 and ends[1] == 54 and ends[2] >= 0 and ends[3] <= 500 and ends[4] == 6 and ends[6] == 10
     assert 0.03 < ends[5] < 0.07
+
+
+def test_a_clone_keeps_lengths_defaults_and_layout(spark):
+    folder = new_folder(spark, "clone")
+    name = "c_" + folder.rsplit("-", 1)[1]
+    for db in (name, name + "_copy"):
+        tables.create_database(spark, db, f"{folder}/{db}")
+    tables.create(spark, f"{name}.t", "k INT, v VARCHAR(3), n INT DEFAULT 7, part STRING", partition_by=["part"])
+    spark.sql(f"INSERT INTO {name}.t VALUES (1, 'ab', 3, 'x'), (2, 'c', 4, 'y')")
+    for _ in range(2):  # a second clone replaces the first
+        assert tables.clone_all(spark, name, name + "_copy") == ["t"]
+    copy = f"{name}_copy.t"
+    assert rows(spark.table(copy)) == [(1, "ab", 3, "x"), (2, "c", 4, "y")]
+    assert [c.name for c in spark.catalog.listColumns(copy) if c.isPartition] == ["part"]
+    spark.sql(f"INSERT INTO {copy} (k, v, part) VALUES (3, 'd', 'x')")
+    assert (3, "d", 7, "x") in rows(spark.table(copy))
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        spark.sql(f"INSERT INTO {copy} (k, v, part) VALUES (3, 'long', 'x')")
