@@ -19,8 +19,8 @@ THRESHOLD = 0.98
 TABLES = 5
 #: Neighbouring cells that are probed besides a vector's own.
 PROBES = 7
-#: Lattice steps per unit length of a projected unit vector.
-SCALE = 6.0
+#: Lattice steps between the projections of two unit vectors whose cosine is the threshold, in the mean.
+REACH = 0.424
 #: Vectors of one cell that are compared within one task.
 BLOCK = 1024
 SEED = 20_240
@@ -58,10 +58,26 @@ def decode(points: np.ndarray) -> np.ndarray:
     return np.where(closer[:, None], whole, half)
 
 
-def projections(size: int, tables: int = TABLES) -> list[np.ndarray]:
-    """Orthonormal random projections to 8 dimensions (fewer inputs are padded by zeros)."""
+def scale(size: int, threshold: float = THRESHOLD) -> float:
+    """Lattice steps per unit length, so that pairs at the threshold lie ``REACH`` apart at every number of components.
+
+    A projection to 8 of ``size`` dimensions keeps sqrt(8 / size) of a distance, in the mean; below 8 it keeps all.
+    """
+    apart = np.sqrt(2 * max(1 - threshold, 1e-9)) * np.sqrt(min(1.0, 8 / size))
+    return REACH / apart
+
+
+def projections(size: int, tables: int = TABLES, threshold: float = THRESHOLD) -> list[np.ndarray]:
+    """Orthonormal random projections to 8 dimensions (fewer inputs are padded by zeros), in lattice steps."""
     random = np.random.default_rng(SEED)
-    return [np.linalg.qr(random.normal(size=(max(size, 8), 8)))[0][:size] * SCALE for _ in range(tables)]
+    steps = scale(size, threshold)
+    return [np.linalg.qr(random.normal(size=(max(size, 8), 8)))[0][:size] * steps for _ in range(tables)]
+
+
+def normed(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors of any finite magnitude: rows are brought near 1 by a power of two, which is exact, before they are squared."""
+    near = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1))[1][:, None])
+    return near / np.sqrt((near**2).sum(1))[:, None]
 
 
 def _keys(cells: np.ndarray, table: int) -> np.ndarray:
@@ -88,7 +104,7 @@ def _units(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _spread(tables: int, probes: int):
+def _spread(tables: int, probes: int, threshold: float):
     """One row per vector, table and probed cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,9 +116,8 @@ def _spread(tables: int, probes: int):
                 for size in np.unique(sizes):  # vectors of different lengths never meet
                     at = np.flatnonzero(sizes == size)
                     part = rows.take(pa.array(at))
-                    unit = _units(part.column("vector"))
-                    unit = unit / np.sqrt((unit**2).sum(1))[:, None]
-                    for t, projection in enumerate(projections(unit.shape[1], tables)):
+                    unit = normed(_units(part.column("vector")))
+                    for t, projection in enumerate(projections(unit.shape[1], tables, threshold)):
                         keys = cells(unit, projection, t, probes) ^ np.uint64(size)
                         row = np.repeat(np.arange(len(at)), keys.shape[1])
                         home = np.tile(np.arange(keys.shape[1]) == 0, len(at))
@@ -146,9 +161,9 @@ def _compare(tables: int, probes: int, threshold: float):
         for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             if e - s < 2 or not home[s:e].any():
                 continue
-            unit = _units(vectors.slice(s, e - s))
-            unit = unit / np.sqrt((unit**2).sum(1))[:, None]
-            a, b = links(reps[s:e], unit, home[s:e], member[s:e], int(tab[s]), projections(unit.shape[1], int(tab[s])))
+            unit = normed(_units(vectors.slice(s, e - s)))
+            known = projections(unit.shape[1], int(tab[s]), threshold)
+            a, b = links(reps[s:e], unit, home[s:e], member[s:e], int(tab[s]), known)
             if not len(a):
                 continue
             gain = np.bincount(a, sizes[s:e][b], e - s) + np.bincount(b, sizes[s:e][a], e - s)
@@ -209,9 +224,9 @@ def near_duplicates(
     groups = keyed.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     groups = materialise(groups, "vectors")
     schema = "cell long, tab int, home boolean, label long, rep long, n long, vector binary"
-    spread = groups.mapInArrow(_spread(tables, probes), schema)
+    spread = groups.mapInArrow(_spread(tables, probes, threshold), schema)
     # large cells are dealt into blocks: a home row meets every block's members, a member every block's home rows
-    sizes = groups.mapInArrow(_spread(tables, probes), schema).groupBy("label", "cell").agg(F.count(F.lit(1)).alias("m"))
+    sizes = groups.mapInArrow(_spread(tables, probes, threshold), schema).groupBy("label", "cell").agg(F.count(F.lit(1)).alias("m"))
     large = materialise(
         sizes.filter(F.col("m") > block).select("label", "cell", F.ceil(F.col("m") / block).cast("int").alias("parts")), "large"
     )

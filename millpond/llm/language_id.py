@@ -19,6 +19,10 @@ ORDER = 5
 DOCS_PER_LANGUAGE = 400
 #: Share of them, also by hash, kept back to calibrate scores and rejection.
 CALIBRATION = 0.2
+#: A text is rejected beyond this many times the calibration texts' quantile of standard scores.
+MARGIN, QUANTILE = 1.5, 0.999
+#: Calibration texts from which their quantile alone decides.
+ENOUGH = 200
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SCALE = 1 << 30
@@ -76,6 +80,7 @@ class Model:
     spread: np.ndarray  # variance of it between texts
     noise: np.ndarray  # variance of one character's log probability
     limit: float = np.inf  # largest standard score that is still accepted
+    calibrated: int = 0  # texts it was found on
     sharpness: float = 1.0  # of the scores
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -147,8 +152,13 @@ class Model:
         return (low - self.mean[best]) / np.sqrt(self.spread[best] + self.noise[best] / counts)
 
     def _odd(self, low: np.ndarray, counts: np.ndarray, best: np.ndarray) -> np.ndarray:
-        """Far above what the language's own texts reach, and no better than characters drawn evenly."""
-        return (self._standard(low, counts, best) > self.limit) & (low > -self.even[best])
+        """Further above the language's mean than calibration texts of known languages reach.
+
+        Fewer than ``ENOUGH`` of them say too little of what is usual; then a text is rejected only if
+        it is also no better than characters drawn evenly.
+        """
+        far = self._standard(low, counts, best) > self.limit
+        return far if self.calibrated >= ENOUGH else far & (low > -self.even[best])
 
     @property
     def even(self) -> np.ndarray:
@@ -291,7 +301,8 @@ def _calibrate(model: Model, langs: list[str], texts: list[str]) -> None:
         model.noise[i] = max(np.mean((low - model.mean[i]) ** 2 * n), 1.0)
     best = entropy.argmin(1)
     scores = model._standard(entropy[np.arange(len(own)), best], counts, best)
-    model.limit = max(6.0, 1.5 * float(scores[np.isfinite(scores)].max(initial=0.0)))
+    model.calibrated = len(pairs)
+    model.limit = MARGIN * float(np.quantile(scores[np.isfinite(scores)], QUANTILE)) if np.isfinite(scores).any() else np.inf
     losses = {}
     for sharpness in 2.0 ** np.arange(-4, 7):
         model.sharpness = float(sharpness)

@@ -173,7 +173,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, block: int = BLOCK) -
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, one row each; rows without doc_id stay."""
+    """The rows of ``docs`` whose doc_id is the smallest of its group; rows without doc_id stay.
+
+    Of several rows with that doc_id, equal ones count once and different texts all stay: an id that
+    stands for several texts says nothing about which of them are copies.
+    """
     found = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))

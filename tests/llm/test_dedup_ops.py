@@ -261,3 +261,30 @@ def test_a_pair_of_windows_joins_all_regions_it_overlaps():
 def test_a_similar_passage_is_rarely_missed():
     # every shared min-hash leads to verification: a pair is missed if none of them agrees
     assert (1 - substring_dedup.SIMILARITY) ** substring_dedup.HASHES < 1e-4
+
+
+def test_embedding_recall_at_every_width_and_magnitude(spark):
+    """Pairs just above the threshold are found at 3 to 256 components, however long the vectors are."""
+    random_ = np.random.default_rng(9)
+    rows, pairs = [], []
+    for k, (size, length) in enumerate([(3, 1.0), (8, 1.0), (16, 1e-200), (16, 1.0), (64, 1e200), (64, 1.0), (256, 1.0)]):
+        for i in range(120):
+            a = random_.normal(size=size)
+            a /= np.linalg.norm(a)
+            side = random_.normal(size=size)
+            side -= (side @ a) * a
+            b = 0.9805 * a + np.sqrt(1 - 0.9805**2) * side / np.linalg.norm(side)
+            at = 10_000 * k + 2 * i
+            label = 1000 * k + i if size < 16 else k  # few directions lie near others by chance
+            rows += [(at, (a * length).tolist(), label), (at + 1, (b * length).tolist(), label)]
+            pairs.append((k, at))
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    hit = collections.Counter(k for k, at in pairs if found[at + 1].component_id == found[at].component_id)
+    assert len(hit) == 7 and min(hit.values()) >= 0.95 * 120
+    assert max(r.n_links for r in found.values()) == 1
+
+
+def test_ids_of_several_texts_keep_them(spark):
+    rows = [(1, "a b c d e f g"), (1, "q r s t u v w"), (1, "a b c d e f g"), (2, "a b c d e f g")]
+    kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == sorted(rows[:2])

@@ -111,6 +111,16 @@ def test_languages_are_told_apart_on_unseen_texts(spark, small):
     assert all(0 <= r.score <= 1 and not r.rejected for r in found)
 
 
+def test_a_language_that_was_not_learned_is_rejected(spark):
+    """Spanish against models of the others: same letters, other language; texts of learned languages stay."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.train(table.filter("lang <> 'es'"))
+    found = language_id.identify(table, model).join(table.filter("lang IS NOT NULL"), "doc_id").collect()
+    other = [r for r in found if r.lang == "es"]
+    assert sum(r.rejected for r in other) > 0.8 * len(other)
+    assert not any(r.rejected for r in found if r.lang != "es")
+
+
 def test_texts_without_language(spark, small, docs):
     table = spark.read.parquet(f"{small}/documents.parquet")
     model = language_id.train(table)
