@@ -22,7 +22,7 @@ CALIBRATION = 0.2
 #: A text is rejected beyond this many times the calibration texts' quantile of standard scores.
 MARGIN, QUANTILE = 1.5, 0.999
 #: Calibration texts from which their quantile alone decides.
-ENOUGH = 200
+ENOUGH = 100
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SCALE = 1 << 30
