@@ -71,8 +71,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    ratios = secret_scan.train(secret_scan.labelled_samples(docs))
-    return secret_scan.report(secret_scan.scan(docs, ratios))
+    model = secret_scan.train(secret_scan.labelled_samples(docs))
+    return secret_scan.report(secret_scan.scan(docs, model))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

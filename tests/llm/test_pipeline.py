@@ -58,5 +58,5 @@ def test_stages_keep_the_columns(spark, small):
 
 def test_registered():
     found = entry.queries()
-    assert {int(k[2:].split("_")[0]) for k in found if k.startswith("op")} == set(range(1, 11)) and "pipeline" in found
+    assert {int(k[2:].split("_")[0]) for k in found if k.startswith("op")} == set(range(1, 14)) and "pipeline" in found
     assert simhash.THRESHOLD == 3

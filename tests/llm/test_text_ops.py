@@ -176,11 +176,47 @@ def test_markov_models_tell_random_strings_from_names(spark, docs):
     key = "".join(random_.choice(letters) for _ in range(40))
     texts = [*words, f"é {key} end", "the default_request_handler_name_parse_customer here"]
     table = docs(enumerate(texts))
-    ratios = secret_scan.train(secret_scan.labelled_samples(table))
-    spans = {r.doc_id: r.spans for r in secret_scan.report(secret_scan.scan(table, ratios)).collect()}
+    model = secret_scan.train(secret_scan.labelled_samples(table))
+    spans = {r.doc_id: r.spans for r in secret_scan.report(secret_scan.scan(table, model)).collect()}
     assert spans.pop(30) == "random:2:42" and set(spans.values()) == {""}
 
 
+def test_tails_of_keys_are_judged_and_ordinary_names_are_not(spark, small, docs):
+    random_ = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    draw = lambda n, of=letters: "".join(random_.choice(of) for _ in range(n))
+    keys = [f"sk-{draw(24, '0123456789abcdef')}-{draw(30)}" for _ in range(50)] + [f"id {draw(20)}." for _ in range(50)]
+    names = [
+        "getCustomerAccountBalanceHistory", "max_number_of_retry_attempts", "src/main/java/com/example/service/impl",
+        "this-is-a-sentence-with-hyphens-in-it", "daily_export_2024-05-12_final", "docs/reference/getting-started/install",
+        "AbstractSingletonProxyFactoryBean", "DEFAULT_CONNECTION_TIMEOUT_SECONDS", "internationalization", "uncharacteristically",
+        "tests/integration/test_payment_gateway", "com/acme/warehouse/InventoryReservation", "2024-01-31/2024-02-29",
+    ]
+    corpus_ = spark.read.parquet(f"{small}/documents.parquet")
+    model = secret_scan.train(secret_scan.labelled_samples(corpus_))
+    rows = secret_scan.report(secret_scan.scan(docs(enumerate(keys + names)), model)).orderBy("doc_id").collect()
+    found = [set(re.findall(r"random:\d+:\d+", r.spans)) for r in rows]
+    assert sum(f == {"random:27:58"} for f in found[:50]) >= 49
+    assert sum(f == {"random:3:23"} for f in found[50:100]) >= 48
+    assert [n for n, f in zip(names, found[100:]) if f] == []
+    # nothing but secrets is masked in the given prose, and long texts take time in proportion
+    spans = secret_scan.report(secret_scan.scan(corpus_, model))
+    assert spans.filter("spans LIKE '%random%'").count() <= 0.01 * corpus_.count()
+
+
+def test_many_spans_in_one_text_and_clashing_names(spark):
+    text = "é " + "".join(f"{'0123456789abcdef' * 2} token=abcdef{i} xy " for i in range(3000))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, found string, foundfound int, at long"
+    table = spark.createDataFrame([(1, text, "en", "s", len(text), "f", 2, 3), (2, None, None, None, None, None, None, None)], schema)
+    model = secret_scan.train(secret_scan.labelled_samples(table))
+    row = secret_scan.report(secret_scan.scan(table, model)).filter("doc_id = 1").first()
+    assert row.base_sha256 == hashlib.sha256(plain_base(text).encode()).hexdigest()
+    out = secret_scan.without_secrets(table).orderBy("doc_id").collect()
+    assert out[0].text == "é " + f"{secret_scan.MASK} {secret_scan.MASK} xy " * 3000
+    assert out[0].n_chars == len(out[0].text) and (out[0].found, out[0].foundfound, out[0].at) == ("f", 2, 3)
+    assert out[1].text is None and out[1].n_chars is None
+
+
 def test_viterbi_finds_the_best_path():
     random_ = random.Random(2)
     n = len(chat_format.STATES)
