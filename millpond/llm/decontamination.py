@@ -77,6 +77,14 @@ def seeds(texts: DataFrame, id_col: str, text_col: str, width: int, allowed: np.
     return texts.select(id_col, text_col).mapInArrow(run, f"id {kind}, position long, seed string, slot long")
 
 
+def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each item's words, lower-cased as the seeds are."""
+    for rows, column in slices(batches, "text"):
+        data, at = arrowtext.flat(pc.utf8_lower(column))
+        words = [_words(data[s:e].tobytes()) for s, e in zip(at, at[1:])]
+        yield pa.record_batch([rows.column("item_id"), pa.array(words, pa.string())], ["item_id", "item"])
+
+
 def _filter(item_seeds: DataFrame) -> np.ndarray:
     """Bit set of the slots that items use; its size is fixed, so that it can always be sent."""
     groups = item_seeds.groupBy(F.expr("slot div 64 AS place")).agg(
@@ -196,11 +204,11 @@ def contaminated(
     hits = found.join(own, "seed").groupBy("id", "item_id").agg(
         F.collect_set(F.struct("position", "seed")).alias("hits")
     )
-    text = F.trim(F.regexp_replace(F.lower("text"), r"[\x00-\x2F:-@\[-`{-\x7F]+", " "))
-    texts = rows.groupBy("item_id").agg(F.max(text).alias("item")).withColumn("n_words", F.size(F.split("item", " ")))
+    item_kind = items.schema["item_id"].dataType.simpleString()
+    words = rows.mapInArrow(_normalised, f"item_id {item_kind}, item string")
+    texts = words.groupBy("item_id").agg(F.max("item").alias("item")).withColumn("n_words", F.size(F.split("item", " ")))
     tiled = hits.join(texts, "item_id").select("id", "item_id", "item", "n_words", "hits")
     kind = docs.schema[id_col].dataType.simpleString()
-    item_kind = items.schema["item_id"].dataType.simpleString()
     scored = tiled.mapInArrow(
         _tiled(least), f"id {kind}, item_id {item_kind}, coverage double, n_tiles long, longest long"
     )

@@ -151,6 +151,10 @@ def test_leaks_are_found_in_any_order(spark, docs):
     assert {(r.doc_id, r.item_id): round(r.coverage, 3) for r in found.collect()} == {(1, 0): 1.0, (2, 1): 1.0, (1, 3): 1.0}
     kept = decontamination.without_contaminated(docs(rows), benchmark).select("doc_id").collect()
     assert sorted((r[0] for r in kept), key=repr) == sorted([3, 4, 5, 6, 7, None], key=repr)
+    capitals = "İSTANBUL'DA İYİ BİR GÜN ΟΔΟΣ ΣΟΦΟΣ ΛΟΓΟΣ İZMİR İLE ΚΟΣΜΟΣ ΤΕΛΟΣ ÉCOLE STRASSE"
+    item = spark.createDataFrame([(1, capitals)], schema)
+    leaked = decontamination.contaminated(docs([(1, f"x y {capitals} z"), (2, "İSTANBUL ΟΔΟΣ")]), item).collect()
+    assert [(r.doc_id, r.coverage) for r in leaked] == [(1, 1.0)]
     assert decontamination.contaminated(docs([]), benchmark).count() == 0
     assert decontamination.contaminated(docs(rows), benchmark.filter("false")).count() == 0
 
