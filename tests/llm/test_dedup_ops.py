@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from millpond.llm import decontamination, embedding_dedup, simhash, substring_dedup, suffix_dedup
@@ -292,3 +293,57 @@ def test_ids_of_several_texts_keep_them(spark):
     rows = [(1, "a b c d e f g"), (1, "q r s t u v w"), (1, "a b c d e f g"), (2, "a b c d e f g")]
     kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, kept)) == sorted(rows[:2])
+
+
+def best_jaccard(a, b, width):
+    """Largest similarity of two runs of ``width`` shingles, by trying all."""
+    runs = lambda x: [set(x[k : k + width]) for k in range(len(x) - width + 1)]
+    return max((len(x & y) / len(x | y) for x in runs(a) for y in runs(b)), default=0.0)
+
+
+def test_passages_recall_by_brute_force(docs):
+    random_ = random.Random(21)
+    words = lambda n: [f"w{random_.randrange(40000)}" for _ in range(n)]
+    rows = []
+    for k in range(40):
+        passage = words(random_.randint(50, 70))
+        for _ in range(2):
+            edited = list(passage)
+            for at in random_.sample(range(3, len(edited) - 3), random_.randint(0, 1)):
+                edited[at : at + 1] = words(random_.randint(0, 2))
+            rows.append((len(rows), " ".join(words(20) + edited + words(20))))
+    shingles = [[tuple(x[k : k + 5]) for k in range(len(x) - 4)] for x in (t.split() for _, t in rows)]
+    shared = {(i, j): len(set(shingles[i]) & set(shingles[j])) for i in range(len(rows)) for j in range(i)}
+    best = {(i, j): best_jaccard(shingles[i], shingles[j], 46) if n > 30 else 0.0 for (i, j), n in shared.items()}
+    want = {pair for pair, score in best.items() if score >= 0.8}
+    found = {(r.doc_id, r.other_id) for r in substring_dedup.repeated_passages(docs(rows)).collect() if r.doc_id > r.other_id}
+    assert len(want) > 25 and len(found & want) >= 0.9 * len(want)
+    assert all(shared[pair] > 30 for pair in found)
+
+
+def test_windows_of_one_minimum_are_connected_as_by_all_pairs():
+    random_ = np.random.default_rng(8)
+    width, reach = 46, 58
+    for repeats in (False, True):
+        base = [random_.integers(0, 4 if repeats else 1 << 30, 117).astype(np.uint32) for _ in range(12)]
+        contents = []
+        for k in range(60):
+            x = base[k % 12].copy()
+            x[random_.integers(0, 117, random_.integers(0, 9))] = 2_000_000_000 + k
+            x = np.delete(x, random_.integers(0, 117, random_.integers(0, 2))) if k % 3 else x
+            contents.append(x[: random_.integers(90, 118)])
+        n = len(contents)
+        zero = pa.array([0] * n)
+        table = pa.record_batch(
+            [zero, zero, zero, zero, pa.array(range(n)), pa.array([reach] * n), zero, zero,
+             pa.array([x.tobytes() for x in contents], pa.binary())],
+            ["key", "p", "q", "own", "doc_id", "c", "l", "r", "shingles"],
+        )
+        links = [(r["a"], r["b"]) for b in substring_dedup._links(width, 0.8, reach)(iter([table])) for r in b.to_pylist()]
+        alike = [(i, j) for i in range(n) for j in range(i) if substring_dedup.passages(contents[j], contents[i], width, 0.8)]
+        assert 0 < len(links) < n
+        label = groups_of(n, links)
+        assert all(label[i] == label[j] for i, j in alike)
+        whole = lambda i, j: len(set(contents[i]) & set(contents[j])) / len(set(contents[i]) | set(contents[j]))
+        sure = lambda i, j: whole(i, j) >= 0.8 or best_jaccard(contents[i].tolist(), contents[j].tolist(), width) >= 0.8
+        assert all((j, i) in set(alike) or sure(i, j) for i, j in links)
