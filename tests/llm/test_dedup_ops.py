@@ -347,3 +347,29 @@ def test_windows_of_one_minimum_are_connected_as_by_all_pairs():
         whole = lambda i, j: len(set(contents[i]) & set(contents[j])) / len(set(contents[i]) | set(contents[j]))
         sure = lambda i, j: whole(i, j) >= 0.8 or best_jaccard(contents[i].tolist(), contents[j].tolist(), width) >= 0.8
         assert all((j, i) in set(alike) or sure(i, j) for i, j in links)
+
+
+def test_a_run_of_equal_words_is_one_window(docs):
+    text = lambda n: pa.record_batch([pa.array([7]), pa.array(["of " * n])], ["doc_id", "text"])
+    for n in (60, 300):
+        rows = pa.Table.from_batches(substring_dedup._windows(46, 6, 58)(iter([text(n)]))).to_pylist()
+        assert len(rows) == 6 and all((r["c"], r["d"], r["l"], r["r"]) == (0, r["d"], 0, n - 5) for r in rows)
+        assert all(n - 51 <= r["d"] <= n - 5 for r in rows)
+    values = np.random.default_rng(4).integers(0, 9, 400, dtype=np.uint64)
+    row = np.repeat([0, 1, 2], [200, 150, 50])
+    index, first, last, value = substring_dedup.compact_windows(values, row, 1, 6)
+    kept, final = substring_dedup.joined(index, first, value, row, 20)
+    assert len(kept) < len(index) / 2
+    windows = list(zip(first[kept], last[kept], index[kept], final, value[kept]))
+    for c, low, high, v in zip(index, first, last, value):
+        assert any(a <= low and high <= b and x <= c <= y and v == w for a, b, x, y, w in windows)
+    # passages that hold such runs are found, few and many texts to a min-hash
+    random_ = random.Random(31)
+    words = lambda n: [f"w{random_.randrange(40000)}" for _ in range(n)]
+    for copies in (2, 3, 9):
+        passages = [words(20) + ["of"] * 25 + words(20), ["de", "la"] * 30, ["the"] * 70]
+        rows = [(100 * k + i, " ".join(words(40) + p + words(40))) for k, p in enumerate(passages, 1) for i in range(copies)]
+        found = {(r.doc_id, r.other_id) for r in substring_dedup.repeated_passages(docs(rows)).collect()}
+        label = groups_of(400, found)
+        assert all(label[a] == label[a // 100 * 100] for a, _ in rows)
+        assert all(a // 100 == b // 100 for a, b in found)
