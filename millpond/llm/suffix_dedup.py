@@ -17,19 +17,20 @@ from millpond.session import materialise
 
 #: Bytes of a repeated string.
 WIDTH = 400
+#: Words of a repeated passage that is reported, and bytes from which on every one is found.
+PASSAGE, PASSAGE_BYTES = 50, 250
 #: Suffixes of one group that meet in one task.
 BLOCK = 4096
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-def sampled(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the sampled suffixes of flat rows, and the hash of the gram (half of ``width``) at each place.
+def sampled(data: np.ndarray, at: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the sampled suffixes of flat rows, and the hash of the gram (``gram`` bytes) at each place.
 
     Of every string of ``width`` bytes, the place of the gram of least hash is
     taken, the first one if there are several. The choice depends on the string
     alone, so both copies of a string are sampled at the same offset.
     """
-    gram = width // 2
     grams = arrowtext.window_hashes(data, gram)
     if len(data) < width:
         return np.zeros(0, np.int64), grams
@@ -45,11 +46,11 @@ def sampled(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, n
     return chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))] if len(chosen) else chosen, grams
 
 
-def _anchors(width: int):
+def _anchors(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches, "text"):
             data, at = arrowtext.flat(texts)
-            places, grams = sampled(data, at, width)
+            places, grams = sampled(data, at, width, gram)
             row = np.searchsorted(at, places, "right") - 1
             yield pa.record_batch(
                 [pa.array(grams[places].view(np.int64)), rows.column("unit").take(pa.array(row)), pa.array(places - at[row])],
@@ -59,9 +60,8 @@ def _anchors(width: int):
     return run
 
 
-def _contexts(width: int):
+def _contexts(width: int, gram: int):
     """Each sampled suffix with the bytes on both sides that a string of ``width`` bytes around its gram can reach."""
-    gram = width // 2
     reach = width - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,56 +127,70 @@ def longest_factors(positions: list, lcp: list[int]) -> tuple[list[int], list[in
     return earlier, later
 
 
-def covered(members: list[tuple], width: int, keep_first: bool) -> list[tuple[int, int, int]]:
-    """(member, bytes to the left of its place, bytes to the right) of what repeated strings cover.
+def covered(members: list[tuple], width: int, keep_first: bool, gram: int, least: int) -> list[tuple[int, ...]]:
+    """(member, bytes to the left of its place, bytes to the right) of what repeated strings cover, and of the longest.
 
     ``members`` are (position, left, right) around one gram, with different
     positions. Sorting by the left sides gives nested sets of members that share
-    at least so many bytes to the left; within each set, suffix order to the
-    right and its longest factors give the longest right match. A set and a match
+    at least so many bytes to the left; within each set, the neighbours in
+    suffix order to the right, or with ``keep_first`` its longest factors, give the
+    longest right match. A set and a match
     whose bytes add up to ``width`` or more cover all bytes between their ends,
-    and all of a member's strings hold its gram, so the largest ends count.
+    and all of a member's strings hold its gram, so the largest ends count. The
+    longest repeated string of a member counts from ``least`` bytes on.
     """
-    gram = width // 2
     n = len(members)
-    by_right = sorted(range(n), key=lambda i: members[i][2])
-    rank = [0] * n
-    for r, i in enumerate(by_right):
-        rank[i] = r
-    right = [gram + _common(members[a][2], members[b][2]) for a, b in zip(by_right, by_right[1:])]
+    if n == 2:  # most groups
+        one, other = members
+        match = gram + _common(one[2], other[2])
+        depth = _common(one[1][::-1], other[1][::-1])
+        if depth + match < least:
+            return []
+        repeats = [int(one[0] < other[0])] if keep_first else [0, 1]
+        cover = (depth, match) if depth + match >= width else (0, 0)
+        return [(i, *cover, depth, match) for i in repeats]
+    by_right = np.array(sorted(range(n), key=lambda i: members[i][2]))
+    rank = np.argsort(by_right)
+    right = np.array([gram + _common(members[a][2], members[b][2]) for a, b in zip(by_right, by_right[1:])])
     lefts = [m[1][::-1] for m in members]
-    by_left = sorted(range(n), key=lefts.__getitem__)
-    left = [_common(lefts[a], lefts[b]) for a, b in zip(by_left, by_left[1:])]
-    best: dict[int, tuple[int, int]] = {}
-    tables = np.array(right)
+    by_left = np.array(sorted(range(n), key=lefts.__getitem__))
+    left = np.array([_common(lefts[a], lefts[b]) for a, b in zip(by_left, by_left[1:])])
+    best, longest = np.zeros((n, 2), np.int64), np.zeros((n, 2), np.int64)
     # nested sets: intervals of the left order, split at the least common length
     todo = [(0, n)]
     while todo:
         low, high = todo.pop()
-        if high - low < 2:
-            continue
-        depth = min(left[low : high - 1])
-        ranks = sorted(rank[i] for i in by_left[low:high])
-        part = [by_right[r] for r in ranks]
-        lcp = np.minimum.reduceat(tables[: ranks[-1]], ranks[:-1]).tolist()
-        earlier, later = longest_factors([members[i][0] for i in part], lcp)
-        for i, e, x in zip(part, earlier, later, strict=True):
-            match = e if keep_first else max(e, x)
-            if depth + match >= width:
-                have = best.get(i, (0, 0))
-                best[i] = (max(have[0], depth), max(have[1], match))
-        cuts = [k + 1 for k in range(low, high - 1) if left[k] == depth]
-        todo.extend(zip([low, *cuts], [*cuts, high], strict=True))
-    return [(i, a, b) for i, (a, b) in best.items()]
-
-
-def _matched(width: int, keep_first: bool):
+        inner = left[low : high - 1]
+        depth = int(inner.min())
+        ranks = np.sort(rank[by_left[low:high]])
+        part = by_right[ranks]
+        lcp = np.minimum.reduceat(right[: ranks[-1]], ranks[:-1])
+        if keep_first:
+            match = np.array(longest_factors([members[i][0] for i in part], lcp.tolist())[0])
+        else:  # of all others, a neighbour in suffix order matches longest
+            match = np.maximum(np.append(lcp, 0), np.append(0, lcp))
+        repeats = (match > 0) & (depth + match >= least)
+        part, match = part[repeats], match[repeats]
+        more = depth + match > longest[part].sum(axis=1)
+        longest[part[more], 0], longest[part[more], 1] = depth, match[more]
+        removed = depth + match >= width
+        part, match = part[removed], match[removed]
+        best[part, 0] = np.maximum(best[part, 0], depth)
+        best[part, 1] = np.maximum(best[part, 1], match)
+        cuts = np.concatenate(([low], np.flatnonzero(inner == depth) + low + 1, [high]))
+        wide = np.flatnonzero(np.diff(cuts) > 1)
+        todo.extend(zip(cuts[wide].tolist(), cuts[wide + 1].tolist()))
+    found = np.flatnonzero(longest[:, 1])
+    return [(i, *ends) for i, ends in zip(found.tolist(), np.hstack((best, longest))[found].tolist())]
+
+
+def _matched(width: int, keep_first: bool, gram_width: int, least: int):
     """For each suffix that shares a long enough string with another of its group: what it covers on either side."""
 
     def work(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
         names = ["gram", "check", "unit", "first", "place", "left", "right"]
         gram, check, unit, first, place, left, right = (table.column(c).to_pylist() for c in names)
-        out: list[tuple[int, bytes, int, int, int]] = []
+        out: list[tuple[int, bytes, int, int, int, int, int]] = []
         for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             if b - a < 2:
                 continue
@@ -187,9 +201,9 @@ def _matched(width: int, keep_first: bool):
             for group in same.values():
                 members = list(group.values())
                 if len(members) > 1:
-                    for i, x, y in covered(members, width, keep_first):
-                        out.append((gram[a], *members[i][0][2:], x, y))
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+                    for i, *ends in covered(members, width, keep_first, gram_width, least):
+                        out.append((gram[a], *members[i][0][2:], *ends))
+        kinds = (pa.int64(), pa.binary(), *[pa.int64()] * 5)
         return pa.record_batch([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], _COVER_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,41 +212,64 @@ def _matched(width: int, keep_first: bool):
     return run
 
 
-_COVER_NAMES = ["gram", "unit", "place", "before", "after"]
-_COVER = "gram long, unit binary, place long, before long, after long"
+#: What is covered from a place on either side, and how far the longest repeated string reaches there.
+_ENDS = ["before", "after", "left_end", "right_end"]
+_COVER_NAMES = ["gram", "unit", "place", *_ENDS]
+_COVER = "gram long, unit binary, place long, before long, after long, left_end long, right_end long"
 
 
-def _met(suffixes: DataFrame, width: int, keep_first: bool) -> DataFrame:
-    """(gram, unit, place, before, after) from suffixes with ``parts``: every two blocks of a gram meet in one task."""
+def _met(suffixes: DataFrame, *how) -> DataFrame:
+    """(gram, unit, place and ends) from suffixes with ``parts``: every two blocks of a gram meet in one task."""
     dealt = suffixes.withColumn("own", F.pmod(F.xxhash64("unit", "place"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
     ready = dealt.select("gram", "p", "q", *_CONTEXT_NAMES[2:-1])
     ready = ready.repartition("gram", "p", "q").sortWithinPartitions("gram", "p", "q")
-    return ready.mapInArrow(_matched(width, keep_first), _COVER)
+    return ready.mapInArrow(_matched(*how), _COVER)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _says(data: bytes, strings: list[tuple[int, int]], passage: int) -> bool:
+    """Whether one of the (start, end) strings has ``passage`` whole words, parted by ASCII white space."""
+    if not any(end - start >= 2 * passage - 1 for start, end in strings):
+        return False
+    flat = np.frombuffer(data, np.uint8)
+    starts, ends, _ = arrowtext.words(flat, np.array([0, len(flat)]), _WORD)
+    low, high = np.array(strings).T
+    return bool((np.searchsorted(ends, high, "right") - np.searchsorted(starts, low) >= passage).any())
+
+
+_WORD = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
+
+
+def _cut(batches: Iterator[pa.RecordBatch], passage: int) -> Iterator[pa.RecordBatch]:
     for rows, texts in slices(batches, "text"):
         out = []
-        for text, spans in zip(texts.to_pylist(), rows.column("spans").to_pylist(), strict=True):
+        columns = (rows.column(c).to_pylist() for c in ("spans", "copied"))
+        for text, spans, copied in zip(texts.to_pylist(), *columns, strict=True):
             data = text.encode()
             kept, at, removed, runs = [], 0, 0, 0
             end = -1
-            for s in sorted((p - x["before"], p + x["after"]) for x in spans or () for p in x["places"]):
+            for s in sorted((p - x["before"], p + x["after"]) for x in spans or () if x["before"] + x["after"] for p in x["places"]):
                 runs += s[0] > end
                 end = max(end, s[1])
                 if s[0] > at:
                     kept.append(data[at : s[0]])
                 removed += max(0, s[1] - max(at, s[0]))
                 at = max(at, s[1])
-            out.append((b"".join([*kept, data[at:]]), len(data), removed, runs))
-        columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.int64(), pa.int64()))]
-        yield pa.record_batch([rows.column("id"), *columns], ["id", "kept", "n_bytes", "n_removed", "n_spans"])
+            strings = [(0, len(data))] * copied + [(p - x["left_end"], p + x["right_end"]) for x in spans or () for p in x["places"]]
+            says = bool(passage) and _says(data, strings, passage)
+            out.append((b"".join([*kept, data[at:]]), len(data), removed, runs, says))
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        columns = [pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)]
+        yield pa.record_batch([rows.column("id"), *columns], ["id", "kept", "n_bytes", "n_removed", "n_spans", "has_passage"])
 
 
-def repeated_spans(units: DataFrame, width: int = WIDTH, block: int = BLOCK, keep_first: bool = False) -> DataFrame:
-    """(unit, places, before, after): repeated strings cover so many bytes before and from each place; they overlap.
+def repeated_spans(
+    units: DataFrame, width: int = WIDTH, block: int = BLOCK, keep_first: bool = False, least: int | None = None
+) -> DataFrame:
+    """(unit, places, before, after, left_end, right_end): repeated strings cover so many bytes before and from each
+    place; they overlap. The last two are the ends of the longest repeated string there, from ``least`` bytes on
+    (``width`` by default); before and after are 0 where only such a shorter one repeats.
 
     ``units`` (unit binary, doc_id, first, text): a text may stand in several rows
     of one unit; ``first`` is the smallest doc_id of the unit. Suffixes are
@@ -242,8 +279,10 @@ def repeated_spans(units: DataFrame, width: int = WIDTH, block: int = BLOCK, kee
     all, in blocks of which every two meet in a task of their own, and its result
     goes back to the class.
     """
-    found = units.filter(F.octet_length("text") >= width).select("unit", "text")
-    anchors = materialise(found.mapInArrow(_anchors(width), "gram long, unit binary, place long"), "anchors")
+    # a shorter string is sampled by a shorter gram, out of nearly as many
+    least, gram = (width, width // 2) if least is None else (least, least // 3)
+    found = units.filter(F.octet_length("text") >= least).select("unit", "text")
+    anchors = materialise(found.mapInArrow(_anchors(least, gram), "gram long, unit binary, place long"), "anchors")
     own = F.xxhash64("unit", "place")
     sizes = anchors.groupBy("gram").agg(F.min(own).alias("a"), F.max(own).alias("b"), F.count(F.lit(1)).alias("n"))
     repeated = sizes.filter("a <> b").select("gram", F.ceil(F.col("n") / block).cast("int").alias("parts"))
@@ -252,8 +291,9 @@ def repeated_spans(units: DataFrame, width: int = WIDTH, block: int = BLOCK, kee
         F.collect_set(F.struct("gram", "parts", "place")).alias("found")
     )
     texts = units.filter("doc_id <=> first").select("unit", "first", "text").join(wanted, "unit")
-    around = materialise(texts.mapInArrow(_contexts(width), _CONTEXT), "suffixes")
-    plain = _met(around.filter("parts = 1"), width, keep_first)
+    around = materialise(texts.mapInArrow(_contexts(width, gram), _CONTEXT), "suffixes")
+    how = (width, keep_first, gram, least)
+    plain = _met(around.filter("parts = 1"), *how)
 
     crowded = around.filter("parts > 1").withColumn("class", F.xxhash64("check", "left", "right"))
     at = F.struct(F.col("first").isNull().alias("none"), "first", "unit", "place")
@@ -264,27 +304,39 @@ def repeated_spans(units: DataFrame, width: int = WIDTH, block: int = BLOCK, kee
     classes = materialise(classes, "classes")
     blocks = classes.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     heads = classes.join(materialise(blocks, "blocks"), "gram").select("gram", "class", "low.*", "parts", "check", "left", "right")
-    met = _met(heads, width, keep_first).join(heads.select("gram", "class", "unit", "place"), ["gram", "unit", "place"])
-    gram = width // 2
+    met = _met(heads, *how)
+    # one row per suffix, from all blocks that it meets; what it covers there holds its gram, so the largest ends count
+    far = F.max_by(F.struct("left_end", "right_end"), F.col("left_end") + F.col("right_end")).alias("far")
+    met = met.groupBy("gram", "unit", "place").agg(F.max("before").alias("before"), F.max("after").alias("after"), far)
+    met = met.select("gram", "unit", "place", "before", "after", "far.*")
+    met = met.join(heads.select("gram", "class", "unit", "place"), ["gram", "unit", "place"])
     # a class of several suffixes repeats as a whole; its first one has no earlier copy there
-    alike = classes.filter("low <> high OR most > 1").select(
-        "gram", "class", F.octet_length("left").cast("long").alias("before"),
-        (F.octet_length("right") + gram).cast("long").alias("after"), F.lit(keep_first).alias("later"),
-    ).filter(F.col("before") + F.col("after") >= width)
-    met = met.select("gram", "class", "before", "after", F.lit(False).alias("later")).unionByName(alike)
+    before, after = F.octet_length("left").cast("long"), (F.octet_length("right") + gram).cast("long")
+    whole = before + after >= width
+    alike = classes.filter("low <> high OR most > 1").filter(before + after >= least).select(
+        "gram", "class", F.when(whole, before).otherwise(0).alias("before"), F.when(whole, after).otherwise(0).alias("after"),
+        before.alias("left_end"), after.alias("right_end"), F.lit(keep_first).alias("later"),
+    )
+    met = met.select("gram", "class", *_ENDS, F.lit(False).alias("later")).unionByName(alike)
     members = crowded.join(classes.select("gram", "class", "low"), ["gram", "class"]).select(
         "gram", "class", "unit", "places", at.eqNullSafe(F.col("low")).alias("head")
     )
     rest = F.when(F.col("later") & F.col("head"), F.slice("places", 2, F.size("places"))).otherwise(F.col("places"))
-    shared = members.join(met, ["gram", "class"]).select("unit", rest.alias("places"), "before", "after")
-    return plain.select("unit", F.array("place").alias("places"), "before", "after").unionByName(shared)
+    shared = members.join(met, ["gram", "class"]).select("unit", rest.alias("places"), *_ENDS)
+    return plain.select("unit", F.array("place").alias("places"), *_ENDS).unionByName(shared)
 
 
 def without_repeats(
-    docs: DataFrame, width: int = WIDTH, block: int = BLOCK, keep_first: bool = False, id_col: str = "doc_id"
+    docs: DataFrame, width: int = WIDTH, block: int = BLOCK, keep_first: bool = False, id_col: str = "doc_id",
+    passage: int | None = None, passage_bytes: int = PASSAGE_BYTES,
 ) -> DataFrame:
     """(id, kept, n_bytes, n_removed, n_spans) per row; kept is the text's remaining bytes (binary).
 
+    With ``passage`` also has_passage: whether the text holds a string of so many
+    words or more that also starts anywhere else. Every such string of
+    ``passage_bytes`` (at most ``width``) is found, some shorter ones are; around
+    each sampled place the longest one is judged. It changes nothing in what is removed.
+
     A byte is removed if a string of ``width`` bytes that covers it also starts
     anywhere else in the table, same row included; with ``keep_first`` only if it
     also starts earlier, by the smallest id that holds the text, then by place.
@@ -304,19 +356,21 @@ def without_repeats(
     rows = base.join(copies, base["unit"] == copies["copied"], "left").select(
         "unit", "doc_id", "text", F.when(F.col("copied").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("first")
     )
-    spans = repeated_spans(rows, width, block, keep_first).groupBy("unit").agg(F.collect_set(F.struct("places", "before", "after")).alias("spans"))
+    least = passage_bytes if passage else None
+    spans = repeated_spans(rows, width, block, keep_first, least).groupBy("unit").agg(F.collect_set(F.struct("places", *_ENDS)).alias("spans"))
     marks = materialise(spans, "spans").join(units.filter("n > 1"), "unit", "full_outer")
     marked = base.join(marks, "unit", "left")
-    whole = F.col("n").isNotNull() & (F.octet_length("text") >= width)
+    copied = F.col("n").isNotNull()
+    whole = copied & (F.octet_length("text") >= width)
     if keep_first:
         whole &= ~F.col("doc_id").eqNullSafe(F.col("first"))
-    everything = F.struct(
-        F.array(F.lit(0).cast("long")).alias("places"), F.lit(0).cast("long").alias("before"), F.octet_length("text").cast("long").alias("after")
-    )
-    everything = F.array(everything)
+    zero, size = F.lit(0).cast("long"), F.octet_length("text").cast("long")
+    everything = F.array(F.struct(F.array(zero).alias("places"), *[x.alias(c) for x, c in zip((zero, size) * 2, _ENDS)]))
     ready = marked.select(
-        F.col("doc_id").alias("id"), "text", F.when(whole, everything).otherwise(F.col("spans")).alias("spans")
+        F.col("doc_id").alias("id"), "text", copied.alias("copied"),
+        F.when(whole, everything).otherwise(F.col("spans")).alias("spans"),
     )
     kind = docs.schema[id_col].dataType.simpleString()
-    out = ready.mapInArrow(_cut, f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long")
-    return out.withColumnRenamed("id", id_col)
+    names = f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long, has_passage boolean"
+    out = ready.mapInArrow(lambda batches: _cut(batches, passage or 0), names).withColumnRenamed("id", id_col)
+    return out if passage else out.drop("has_passage")

@@ -373,3 +373,24 @@ def test_a_run_of_equal_words_is_one_window(docs):
         label = groups_of(400, found)
         assert all(label[a] == label[a // 100 * 100] for a, _ in rows)
         assert all(a // 100 == b // 100 for a, b in found)
+
+
+def test_repeated_passages_shorter_than_what_is_removed_are_reported(docs):
+    random_ = random.Random(14)
+    words = lambda n: ["".join(random_.choice("abcdefgh") for _ in range(random_.randint(3, 7))) for _ in range(n)]
+    rows, want = [], set()
+    for k, n in enumerate((40, 49, 52, 55, 60, 80) * 3):
+        passage = words(n)
+        for _ in range(2):
+            want |= {len(rows)} if n > 50 else set()
+            rows.append((len(rows), " ".join(words(random_.randint(0, 60)) + passage + words(random_.randint(0, 60)))))
+    rows += [(i, " ".join(words(300))) for i in range(100, 110)] + [(110, None), (111, "")]
+    copy = " ".join(words(55))
+    rows += [(120, copy), (121, copy), (122, "a b"), (123, "a b")]
+    assert any(len(t) < 400 for i, t in rows if i in want)
+    plain = sorted(((r[0], bytes(r[1]), *r[2:]) for r in suffix_dedup.without_repeats(docs(rows)).collect()), key=repr)
+    assert plain == plain_repeats(rows, 400, False)
+    for block in (4096, 1):
+        found = suffix_dedup.without_repeats(docs(rows), 400, block, passage=50).collect()
+        assert {r.doc_id for r in found if r.has_passage} == want | {120, 121}
+        assert sorted(((r[0], bytes(r[1]), *r[2:5]) for r in found), key=repr) == plain
