@@ -2,6 +2,7 @@
 
 import collections
 import random
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -394,3 +395,54 @@ def test_repeated_passages_shorter_than_what_is_removed_are_reported(docs):
         found = suffix_dedup.without_repeats(docs(rows), 400, block, passage=50).collect()
         assert {r.doc_id for r in found if r.has_passage} == want | {120, 121}
         assert sorted(((r[0], bytes(r[1]), *r[2:5]) for r in found), key=repr) == plain
+
+
+def test_windows_of_many_min_hashes_are_linked_all_at_once():
+    rng = np.random.default_rng(11)
+    width, reach, groups, size = 20, 25, 150, 14
+    rows = []
+    for key in range(groups):
+        base = rng.integers(0, 1 << 32, 2 * reach + 1, dtype=np.uint32)
+        for i in range(size):
+            content = np.where(rng.random(len(base)) < 0.3, rng.integers(0, 1 << 32, len(base), dtype=np.uint32), base)
+            rows.append((key, key * size + i, content))
+    n = len(rows)
+    columns = {"key": [k for k, _, _ in rows], "doc_id": [d for _, d, _ in rows], "shingles": [x.tobytes() for _, _, x in rows]}
+    columns |= {c: [v] * n for c, v in (("own", 0), ("p", 0), ("q", 0), ("c", reach), ("l", 0), ("r", 2 * reach))}
+    batch = pa.table(columns).combine_chunks().to_batches()[0]
+    run = substring_dedup._links(width, 0.8, reach)
+    calls = collections.Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        links = [(r["a"], r["b"]) for b in run(iter([batch])) for r in b.to_pylist()]
+    finally:
+        sys.setprofile(None)
+    assert calls["c_call"] < groups * size * 8  # no steps of its own for each window
+    label = groups_of(n, links)
+    alike = [
+        (i, j) for k in range(groups) for i in range(k * size, k * size + size) for j in range(k * size, i)
+        if substring_dedup.passages(rows[j][2], rows[i][2], width, 0.8)
+    ]
+    assert alike and all(label[i] == label[j] for i, j in alike)
+    assert all(i // size == j // size for i, j in links) and len(links) < n
+
+
+def test_regions_of_one_chain_need_no_sweep(monkeypatch):
+    rng = np.random.default_rng(12)
+    sweep, swept = substring_dedup.candidates, []
+    monkeypatch.setattr(substring_dedup, "candidates", lambda hits: swept.append(hits) or sweep(hits))
+    kind = pa.list_(pa.struct([(c, pa.int32()) for c in ("la", "ra", "lb", "rb")]))
+
+    def regions(hits):
+        rows = [[dict(zip(("lb", "rb", "la", "ra"), map(int, x), strict=True)) for x in pair] for pair in hits]
+        ids = pa.array(range(len(rows)), pa.int64())
+        batch = pa.record_batch([ids, ids, pa.array(rows, kind)], ["a", "b", "hits"])
+        out = collections.defaultdict(list)
+        for r in pa.Table.from_batches(substring_dedup._regions(iter([batch]))).to_pylist():
+            out[r["a"]].append(tuple(r[c] for c in ("a_first", "a_last", "b_first", "b_last")))
+        return [out[i] for i in range(len(rows))]
+
+    chains = [[(s, s + 50, s + k, s + k + 50) for s in range(0, 40 * k + 1, 20)] for k in range(1, 30)]
+    assert regions(chains) == [sweep(pair) for pair in chains] and not swept
+    pairs = [[(b, b + 9, a, a + 9) for a, b in rng.integers(0, 60, (int(n), 2))] for n in rng.integers(1, 9, 300)]
+    assert regions(pairs) == [sweep([tuple(map(int, x)) for x in pair]) for pair in pairs] and swept
