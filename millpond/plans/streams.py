@@ -213,6 +213,10 @@ def k5(spark, d):
     return streams.read_loads(spark, out)
 
 
+#: Batches in which a backlog of many files is merged; each meets what the ones before it have stored.
+BATCHES = 8
+
+
 def _merged(spark, table, bronze, by_month=False):
     """Bronze rows in several files, merged batch by batch; the table's folder."""
     spec, (matched, not_matched) = SILVER[table], silver.clauses(table)
@@ -220,8 +224,8 @@ def _merged(spark, table, bronze, by_month=False):
     bronze.write.option("maxRecordsPerFile", 20_000).parquet(source)
     upsert = upserts.upsert_months if by_month else upserts.upsert_state
     upsert(
-        streams.table_stream(spark, source, files_per_batch=2), folder, spec.schema, spec.keys, matched, not_matched,
-        checkpoint, prepare=lambda batch: silver.prepare(table, batch), identity=spec.identity,
+        streams.table_stream(spark, source, files_per_batch=2, most_batches=BATCHES), folder, spec.schema, spec.keys,
+        matched, not_matched, checkpoint, prepare=lambda batch: silver.prepare(table, batch), identity=spec.identity,
     )
     return folder
 

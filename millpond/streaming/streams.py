@@ -34,10 +34,21 @@ def file_stream(
 
 
 def table_stream(
-    spark: SparkSession, folder: str, schema: StructType | str | None = None, files_per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: StructType | str | None = None,
+    files_per_batch: int | None = None,
+    most_batches: int | None = None,
 ) -> DataFrame:
-    """Rows appended to a Parquet folder."""
+    """Rows appended to a Parquet folder.
+
+    With ``most_batches`` a backlog of more than that many times ``files_per_batch`` files is
+    taken in ``most_batches`` larger batches, so that the number of batches does not grow with it.
+    """
     reader = spark.readStream.schema(schema or spark.read.parquet(folder).schema)
+    if files_per_batch and most_batches:
+        waiting = spark.read.schema(schema) if schema else spark.read
+        files_per_batch = max(files_per_batch, -(-len(waiting.parquet(folder).inputFiles()) // most_batches))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)

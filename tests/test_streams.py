@@ -203,3 +203,13 @@ def test_a_kept_mark_needs_no_scan_of_the_table(spark):
     assert rows(keys.assign(fresh, table, "id", ["v"])) == [(8, "a"), (9, "b")]
     merged = merge(table, fresh, ["v"], [], [insert_all()], identity="id", identity_after=40)
     assert sorted(r.id for r in merged.select(F.col("id")).collect()) == [7, 41, 42]
+
+
+def test_a_backlog_of_many_files_is_taken_in_few_batches(spark):
+    source, checkpoint = new_folder(spark, "bronze"), new_folder(spark, "ck")
+    spark.range(11).repartition(11, "id").write.option("maxRecordsPerFile", 1).parquet(source)
+    sizes = []
+    stream = streams.table_stream(spark, source, files_per_batch=2, most_batches=3)
+    query = stream.writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count()))
+    query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) <= 3 and sum(sizes) == 11
