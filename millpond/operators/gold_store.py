@@ -44,13 +44,14 @@ TRANSACTIONS = Summary(
 )
 
 
-def write_months(fact: DataFrame, folder: str) -> None:
+def write_months(fact: DataFrame, folder: str, mode: str = "overwrite") -> None:
     """Store a fact by the month of its ``date``, replacing the months it holds and no other.
 
     The rebalance deals rows by month but splits a month that is larger than one file should be.
+    With the mode ``append`` the rows are put beside those that the months have.
     """
     dated = fact.withColumn(MONTH, F.trunc("date", "month")).hint("rebalance", MONTH)
-    writer = dated.write.mode("overwrite").partitionBy(MONTH)
+    writer = dated.write.mode(mode).partitionBy(MONTH)
     writer.option("partitionOverwriteMode", "dynamic").parquet(folder)
 
 

@@ -2,7 +2,9 @@
 
 Small tables keep one folder per batch with their whole state; a batch is a function of the state
 before it and its rows, so a batch that is run again after a failure writes the same folder again.
-Facts are merged month by month in place: a merge applied twice equals one.
+Facts are merged month by month in place: a merge applied twice equals one. Months in which a batch
+meets no stored row get its rows as further files, so that new rows cost what they are and not what
+their months hold.
 """
 
 from __future__ import annotations
@@ -93,8 +95,9 @@ def upsert_months(
 ) -> StreamingQuery:
     """Merge every micro-batch into a fact stored by the month of its ``date``, which must be a merge key.
 
-    Only the months of the batch (bounded by the calendar) are read, merged, staged and written
-    back. The largest ``identity`` number is kept beside the table with the batch that gave it, so
+    Only the months of the batch (bounded by the calendar) are read. Those in which a key of the
+    batch is stored already are merged, staged and written back; to the others its rows are added.
+    A batch that died while it added rows finds these when it is run again. The largest ``identity`` number is kept beside the table with the batch that gave it, so
     no batch scans the fact for it; numbers found in the months read count too, as a run that died
     may have written them. Rows without a date match nothing: they would be inserted every time,
     so they raise.
@@ -114,8 +117,15 @@ def upsert_months(
         after = None
         if identity:
             after = max(_mark(spark, f"{folder}-marks", number), old.select(F.max(identity)).first()[0] or 0)
+        met = old.select(*on).join(rows.select(*on), list(on), "left_semi").select(F.trunc("date", "month").alias("m"))
+        meeting = [r["m"] for r in met.distinct().collect()]
+        old = _months(spark, folder, schema, meeting)
         new = materialise(merge(old, rows, on, matched, not_matched, identity=identity, identity_after=after), "months")
-        write_months(new, folder)
+        stored = F.trunc("date", "month").isin(meeting)
+        if meeting:
+            write_months(new.filter(stored), folder)
+        if len(meeting) < len(months):
+            write_months(new.filter(~stored), folder, "append")
         if identity:
             largest = new.select(F.greatest(F.max(identity), F.lit(after)).alias("largest"))
             largest.write.mode("overwrite").parquet(f"{folder}-marks/batch={number}")

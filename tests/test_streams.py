@@ -205,6 +205,22 @@ def test_a_kept_mark_needs_no_scan_of_the_table(spark):
     assert sorted(r.id for r in merged.select(F.col("id")).collect()) == [7, 41, 42]
 
 
+def test_new_rows_leave_the_files_of_their_month_in_place(spark):
+    source, folder, checkpoint = (new_folder(spark, n) for n in ("bronze", "fact", "ck"))
+    visits(spark, source, (date(2016, 1, 5), 1, 10), (date(2016, 2, 5), 1, 20))
+    merge_visits(spark, source, folder, checkpoint)
+    before = set(glob.glob(f"{folder}/month=*/*.parquet"))
+    visits(spark, source, (date(2016, 1, 5), 2, 30), (date(2016, 1, 6), 1, 40), (date(2016, 2, 5), 1, 21), (date(2016, 3, 1), 1, 50))
+    merge_visits(spark, source, folder, checkpoint)
+    kept = before & set(glob.glob(f"{folder}/month=*/*.parquet"))
+    assert [f.split("/")[-2] for f in kept] == ["month=2016-01-01"]  # a key of February was stored, none of January's
+    got = rows(read_months(spark, folder).select("id", "store_nbr", "transactions"))
+    assert got == [(1, 1, 10), (2, 1, 21), (3, 2, 30), (4, 1, 40), (5, 1, 50)]
+    forget_commits(checkpoint)
+    merge_visits(spark, source, folder, checkpoint)
+    assert rows(read_months(spark, folder).select("id", "store_nbr", "transactions")) == got
+
+
 def test_a_backlog_of_many_files_is_taken_in_few_batches(spark):
     source, checkpoint = new_folder(spark, "bronze"), new_folder(spark, "ck")
     spark.range(11).repartition(11, "id").write.option("maxRecordsPerFile", 1).parquet(source)
