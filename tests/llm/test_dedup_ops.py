@@ -7,6 +7,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import functions as F
 
 from millpond.llm import decontamination, embedding_dedup, simhash, substring_dedup, suffix_dedup
 from millpond.llm.components import components
@@ -446,3 +447,27 @@ def test_regions_of_one_chain_need_no_sweep(monkeypatch):
     assert regions(chains) == [sweep(pair) for pair in chains] and not swept
     pairs = [[(b, b + 9, a, a + 9) for a, b in rng.integers(0, 60, (int(n), 2))] for n in rng.integers(1, 9, 300)]
     assert regions(pairs) == [sweep([tuple(map(int, x)) for x in pair]) for pair in pairs] and swept
+
+
+def test_other_texts_of_a_copys_id_are_searched(docs):
+    """Document 2 has a text that document 1 has too, and one of its own that document 3 quotes."""
+    random_ = random.Random(31)
+    words = lambda n: [f"w{random_.randrange(40000)}" for _ in range(n)]
+    copied, own = words(90), words(120)
+    rows = [(1, " ".join(copied)), (2, " ".join(copied)), (2, " ".join(own)), (3, " ".join(words(40) + own[10:100] + words(40)))]
+    found = {(r.doc_id, r.other_id): r for r in substring_dedup.repeated_passages(docs(rows)).collect()}
+    assert found.keys() == {(1, 2), (2, 1), (2, 3), (3, 2)}
+    assert found[2, 1].end == found[2, 1].other_end == 90
+    assert abs(found[2, 3].start - 10) <= 3 and abs(found[3, 2].start - 40) <= 3
+
+
+def test_texts_that_are_no_copies_are_kept_without_a_join_of_all(spark):
+    """The marks of copied ids leave exactly what an anti join would."""
+    base = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 15_000).alias("text"))
+    other = spark.createDataFrame([(17_000, "own")], "doc_id long, text string")
+    base = base.unionByName(other).withColumn("unit", F.unhex(F.md5("text")))
+    copies = base.filter("doc_id >= 15000 AND text <> 'own'").withColumn("first", F.col("doc_id") - 15_000)
+    copies = substring_dedup.materialise(copies.select("doc_id", "unit", "first"), "copies")
+    left = substring_dedup._without(base.select("doc_id", "text"), copies)
+    assert sorted(tuple(r) for r in left.collect()) == sorted([(i, f"t{i}") for i in range(15_000)] + [(17_000, "own")])
+    assert substring_dedup._without(base.select("doc_id", "text"), copies.filter("false")).count() == 20_001
