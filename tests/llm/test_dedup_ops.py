@@ -2,6 +2,7 @@
 
 import collections
 import random
+import time
 import sys
 
 import numpy as np
@@ -461,6 +462,23 @@ def test_other_texts_of_a_copys_id_are_searched(docs):
     assert abs(found[2, 3].start - 10) <= 3 and abs(found[3, 2].start - 40) <= 3
 
 
+def test_a_staged_step_leaves_no_shuffle_files(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, manager = spark.conf.get(name), spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def files():
+        blocks = manager.getAllBlocks()
+        return {b for b in (blocks.apply(i).toString() for i in range(blocks.size())) if b.startswith("shuffle_")}
+
+    had = files()
+    substring_dedup._staged(spark.range(100_000).repartition(3, "id"), "steps")
+    for _ in range(100):  # they are removed in the background
+        if not files() - had:
+            break
+        time.sleep(0.1)
+    assert not files() - had and spark.conf.get(name) == before
+
+
 def test_texts_that_are_no_copies_are_kept_without_a_join_of_all(spark):
     """The marks of copied ids leave exactly what an anti join would."""
     base = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 15_000).alias("text"))
